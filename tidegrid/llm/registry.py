@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidegrid.llm import exact_dedup
+from tidegrid.llm import exact_dedup, minhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op6_minhash": minhash.query,
 }
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
