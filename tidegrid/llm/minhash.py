@@ -8,10 +8,12 @@ form a class, represented by its smallest doc_id; only representatives are compa
 2. Representatives that share a band key are candidates. Two sketches estimate the similarity
    by counting equal lanes, corrected for lanes that are equal by chance (one in four); pairs
    estimated far below the threshold are dropped, the others are confirmed on their sets.
-3. Groups are never expanded into pairs. First, each member of a bucket is compared with the
-   bucket's smallest member, then with the member of most links. Where a bucket still holds
-   several components, the members outside its largest are compared with all members of
-   other components. So every pair in a bucket is either compared or known to be connected.
+3. Groups are never expanded into pairs. First, each representative is compared with the
+   smallest one that any of its buckets holds. Where a bucket still holds several components,
+   its member of most links is compared with those of other components. Where it still does,
+   the members outside its largest component are compared with all members of other
+   components, each pair in the first bucket that it shares. So every pair in a bucket is either
+   compared or known to be connected.
 
 With the defaults a pair at similarity 0.85 has no common band with a probability below 1e-6,
 and the estimate drops it with a probability below 1e-6 (five standard deviations).
@@ -93,6 +95,20 @@ def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
+def _chosen(texts: DataFrame, wanted: DataFrame, bits: int = 1 << 26) -> DataFrame:
+    """The rows of ``texts`` whose doc_id is in ``wanted``, without shuffling the other texts.
+
+    A bitmap of hashed ids, of at most ``bits`` / 64 rows whatever the input, is broadcast and
+    lets through the wanted rows and few others; the exact join then sees these only.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {bits}) % 64 as int))")
+    word = F.floor(place / 64).alias("word")
+    bitmap = wanted.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("set"))
+    passed = texts.select("doc_id", "text", word, bit.alias("bit")).join(F.broadcast(bitmap), "word").filter(F.col("set").bitwiseAND(F.col("bit")) != 0)
+    return passed.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+
+
 def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int = 25, rows: int = 5) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -110,12 +126,11 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
     classes = session.written(classes, "classes")
     first = signed.join(classes.select(F.col("rep").alias("doc_id"), "k1", "k2", "n_shingles"), ["doc_id", "k1", "k2", "n_shingles"], "left_semi")
     # a band key that no other representative has gives no candidate: it isn't kept
-    spread = first.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket"))
-    spread = spread.distinct()
+    spread = first.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket")).distinct()
     sizes = spread.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = session.written(spread.join(sizes.select("bucket", "pivot"), "bucket"), "buckets")
     inside = members.select("rep").distinct()
-    sketches = session.written(first.withColumnRenamed("doc_id", "rep").select("rep", "n_shingles", *sketch).join(inside, "rep", "left_semi").dropDuplicates(["rep"]), "sketches")
+    sketches = session.written(first.withColumnRenamed("doc_id", "rep").select("rep", "n_shingles", "bands", *sketch).join(inside, "rep", "left_semi").dropDuplicates(["rep"]), "sketches")
 
     # estimated share of equal lanes at the threshold, less five standard deviations
     share = percent / 100 + (1 - percent / 100) / 4
@@ -138,7 +153,7 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = session.written(pairs, "pairs")
         wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(width), "doc_id long, shingles array<long>")
+        sets = _chosen(texts, wanted).mapInArrow(_sets(width), "doc_id long, shingles array<long>")
         sets = session.written(sets, "sets")
         joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
         joined = joined.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
@@ -148,8 +163,8 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
         session.discard(pairs)
         return out
 
-    # the smallest member of each bucket against the others
-    stars = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    # each against the smallest member of its buckets
+    stars = members.groupBy(F.col("rep").alias("b")).agg(F.min("pivot").alias("a")).filter("a <> b").select("a", "b")
     tried = session.written(estimated(stars), "tried")
     links = confirmed(tried)
     labels = components(links)
@@ -174,7 +189,8 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
     rest = again.join(largest.select("bucket", F.col("top.component").alias("major")), "bucket").join(sketches, "rep")
     rest = session.written(rest, "rest")
     x = rest.filter("component <> major").alias("x")
-    crossed = x.join(rest.alias("y"), F.expr(f"x.bucket = y.bucket AND x.component <> y.component AND {close('x', 'y')}"))
+    shared = "x.bucket = element_at(filter(zip_with(x.bands, y.bands, (p, q) -> if(p = q, p, null)), p -> p IS NOT NULL), 1)"
+    crossed = x.join(rest.alias("y"), F.expr(f"x.bucket = y.bucket AND x.component <> y.component AND {close('x', 'y')} AND {shared}"))
     crossed = crossed.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
     links = links.unionByName(confirmed(crossed))
     labels = components(links)
