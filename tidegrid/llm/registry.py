@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidegrid.llm import exact_dedup, minhash
+from tidegrid.llm import decontaminate, exact_dedup, minhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op6_minhash": minhash.query,
+    "op8_decontaminate": decontaminate.query,
 }
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
