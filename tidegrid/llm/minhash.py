@@ -15,7 +15,7 @@ form a class, represented by its smallest doc_id; only representatives are compa
    components, each pair in the first bucket that it shares. So every pair in a bucket is either
    compared or known to be connected.
 
-With the defaults a pair at similarity 0.85 has no common band with a probability below 1e-6,
+With the defaults a pair at similarity 0.85 has no common band with a probability below 2e-6,
 and the estimate drops it with a probability below 1e-6 (five standard deviations).
 
 Defined results: null, empty and white-space texts have an empty set, n_shingles 0 and are
@@ -38,8 +38,8 @@ from tidegrid import session
 from tidegrid.llm import textvec
 from tidegrid.llm.components import components
 
-LANES, LONGS = 128, 4
-SIGNED = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, s0 long, s1 long, s2 long, s3 long"
+LANES, LONGS = 256, 8
+SIGNED = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, " + ", ".join(f"s{i} long" for i in range(LONGS))
 
 
 def _signer(width: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -76,40 +76,42 @@ def _signer(width: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBa
             packed = ((mins & np.uint32(3)).reshape(n, LONGS, 32).astype(np.uint64) << lane).sum(axis=2, dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(sizes), *(pa.array(keys[:, i].copy().view(np.int64)) for i in (0, 1)), lists, *(pa.array(packed[:, i].copy()) for i in range(LONGS))],
-                names=["doc_id", "n_shingles", "k1", "k2", "bands", "s0", "s1", "s2", "s3"],
+                names=["doc_id", "n_shingles", "k1", "k2", "bands", *(f"s{i}" for i in range(LONGS))],
             )
 
     return run
 
 
-def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _compare(width: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Keeps the pairs (a, x) and (b, y) of ids and texts whose full sets reach the threshold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [x.view(np.int64) for x in textvec.shingle_sets(part.column("text"), width)]
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.zeros(0, np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), lists], names=["doc_id", "shingles"])
+            sets = zip(textvec.shingle_sets(batch.column("x"), width), textvec.shingle_sets(batch.column("y"), width))
+            keep = []
+            for x, y in sets:
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def _chosen(texts: DataFrame, wanted: DataFrame, bits: int = 1 << 26) -> DataFrame:
-    """The rows of ``texts`` whose doc_id is in ``wanted``, without shuffling the other texts.
+    """The rows of ``texts`` whose doc_id is in ``wanted``, and few more, without a shuffle of texts.
 
-    A bitmap of hashed ids, of at most ``bits`` / 64 rows whatever the input, is broadcast and
-    lets through the wanted rows and few others; the exact join then sees these only.
+    A bitmap of hashed ids, of at most ``bits`` / 64 rows whatever the input, is broadcast. It lets
+    through all wanted rows and some others, which later joins by doc_id leave out.
     """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
     bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {bits}) % 64 as int))")
     word = F.floor(place / 64).alias("word")
     bitmap = wanted.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("set"))
     passed = texts.select("doc_id", "text", word, bit.alias("bit")).join(F.broadcast(bitmap), "word").filter(F.col("set").bitwiseAND(F.col("bit")) != 0)
-    return passed.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    return passed.select("doc_id", "text")
 
 
-def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int = 25, rows: int = 5) -> DataFrame:
+def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int = 28, rows: int = 6) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Documents are linked where 100 * intersection >= ``percent`` * union of their sets of
@@ -121,16 +123,17 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
     session.workers_see(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     signed = session.written(texts.mapInArrow(_signer(width, bands, rows), SIGNED), "signed")
-    sketch = ["s0", "s1", "s2", "s3"]
+    sketch = [f"s{i}" for i in range(LONGS)]
     classes = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
     classes = session.written(classes, "classes")
     first = signed.join(classes.select(F.col("rep").alias("doc_id"), "k1", "k2", "n_shingles"), ["doc_id", "k1", "k2", "n_shingles"], "left_semi")
+    first = session.written(first.select(F.col("doc_id").alias("rep"), "n_shingles", "bands", *sketch), "first")
     # a band key that no other representative has gives no candidate: it isn't kept
-    spread = first.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket")).distinct()
-    sizes = spread.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = session.written(spread.join(sizes.select("bucket", "pivot"), "bucket"), "buckets")
+    spread = first.select("rep", F.explode("bands").alias("bucket"))
+    pivots = spread.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).filter("pivot < last")
+    members = session.written(spread.join(pivots.select("bucket", "pivot"), "bucket"), "buckets")
     inside = members.select("rep").distinct()
-    sketches = session.written(first.withColumnRenamed("doc_id", "rep").select("rep", "n_shingles", "bands", *sketch).join(inside, "rep", "left_semi").dropDuplicates(["rep"]), "sketches")
+    sketches = session.written(first.join(inside, "rep", "left_semi").dropDuplicates(["rep"]), "sketches")
 
     # estimated share of equal lanes at the threshold, less five standard deviations
     share = percent / 100 + (1 - percent / 100) / 4
@@ -152,14 +155,12 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = session.written(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        sets = _chosen(texts, wanted).mapInArrow(_sets(width), "doc_id long, shingles array<long>")
-        sets = session.written(sets, "sets")
-        joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-        joined = joined.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-        both = joined.select("a", "b", F.size("x").alias("m"), F.size("y").alias("n"), F.size(F.array_intersect("x", "y")).alias("common"))
-        out = session.written(both.filter(f"100 * common >= {percent} * (m + n - common)").select("a", "b"), "links")
-        session.discard(sets)
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        chosen = session.written(_chosen(texts, wanted), "texts")
+        joined = pairs.join(chosen.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
+        joined = joined.join(chosen.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
+        out = session.written(joined.mapInArrow(_compare(width, percent), "a long, b long").distinct(), "links")
+        session.discard(chosen)
         session.discard(pairs)
         return out
 
@@ -190,7 +191,7 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
     rest = session.written(rest, "rest")
     x = rest.filter("component <> major").alias("x")
     shared = "x.bucket = element_at(filter(zip_with(x.bands, y.bands, (p, q) -> if(p = q, p, null)), p -> p IS NOT NULL), 1)"
-    crossed = x.join(rest.alias("y"), F.expr(f"x.bucket = y.bucket AND x.component <> y.component AND {close('x', 'y')} AND {shared}"))
+    crossed = x.join(rest.alias("y"), F.expr(f"x.bucket = y.bucket AND x.component <> y.component AND (y.component = y.major OR x.rep < y.rep) AND {close('x', 'y')} AND {shared}"))
     crossed = crossed.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
     links = links.unionByName(confirmed(crossed))
     labels = components(links)
@@ -206,7 +207,7 @@ def _assigned(signed: DataFrame, classes: DataFrame, labels: DataFrame) -> DataF
     return rows.select("doc_id", "n_shingles", own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 4) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5) -> DataFrame:
     """The rows of ``docs``, with its columns, of which each component keeps its smallest doc_id."""
     gone = near_groups(docs, width, percent, bands, rows).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
