@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tidegrid.llm import decontaminate, exact_dedup, minhash
+from tidegrid.llm import bpe_codec, decontaminate, exact_dedup, minhash, token_counts
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op3_bpe_codec": bpe_codec.query,
     "op6_minhash": minhash.query,
     "op8_decontaminate": decontaminate.query,
+    "op10_token_counts": token_counts.query,
 }
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
