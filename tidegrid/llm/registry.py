@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidegrid.llm import bpe_codec, decontaminate, exact_dedup, minhash, token_counts
+from tidegrid.llm import bpe_codec, decontaminate, exact_dedup, minhash, token_counts, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op2_toxicity": toxicity.query,
     "op3_bpe_codec": bpe_codec.query,
     "op6_minhash": minhash.query,
     "op8_decontaminate": decontaminate.query,
