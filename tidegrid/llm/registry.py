@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tidegrid.llm import bpe_codec, decontaminate, exact_dedup, minhash, token_counts, toxicity
+from tidegrid.llm import bpe_codec, decontaminate, exact_dedup, language, minhash, quality, token_counts, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_toxicity": toxicity.query,
     "op3_bpe_codec": bpe_codec.query,
     "op6_minhash": minhash.query,
+    "op7_quality": quality.query,
     "op8_decontaminate": decontaminate.query,
+    "op9_language": language.query,
     "op10_token_counts": token_counts.query,
 }
 ORACLES = {
