@@ -1,6 +1,7 @@
 """Quality by voting of nearest neighbours in a latent semantic space.
 
-A text is the TF-IDF vector of its hashed byte trigrams, projected on the leading singular vectors of a bounded
+A text is the TF-IDF vector of its hashed byte trigrams, with the shares of words that repeat one of the
+``LAGS`` last words beside it, projected on the leading singular vectors of a bounded
 sample of labelled documents. The labelled vectors are broadcast: their number is a parameter, so their size has
 a bound. Every document's cosine with every labelled vector is computed exactly, block by block, and the
 labels of the nearest neighbours vote with weights that fall with distance. Classes are sampled alike, so votes are
@@ -25,13 +26,16 @@ from tidegrid.llm import sampling, textvec
 
 BUCKETS = 4096
 DIMENSIONS = 64
+LAGS = 2
+#: Shares are held as counts in a million.
+SHARE = 1_000_000
 
 
 def trigram_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Counts of hashed byte trigrams, a row for each text."""
+    """Counts of hashed byte trigrams and the shares of repeated words, a row for each text."""
     n = len(offsets) - 1
     if len(data) < 3:
-        return np.zeros((n, BUCKETS), np.float32)
+        return np.zeros((n, BUCKETS + LAGS), np.float32)
     x = data.astype(np.uint32)
     code = (x[:-2] << np.uint32(16)) | (x[1:-1] << np.uint32(8)) | x[2:]
     code = (code * np.uint32(2654435769)) >> np.uint32(20)
@@ -39,7 +43,12 @@ def trigram_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     rows = np.repeat(np.arange(n, dtype=np.int64), sizes)
     same = rows[:-2] == rows[2:]
     flat = (rows[:-2] * BUCKETS + code)[same]
-    return np.bincount(flat, minlength=n * BUCKETS).reshape(n, BUCKETS).astype(np.float32)
+    counts = np.bincount(flat, minlength=n * BUCKETS).reshape(n, BUCKETS).astype(np.float32)
+    starts, ends, owner = textvec.spans(~textvec.WHITE[data], offsets)
+    words = textvec.span_hashes(data, starts, ends)
+    total = np.maximum(np.bincount(owner, minlength=n), 1)
+    shares = [SHARE * np.bincount(owner[k:][(words[k:] == words[:-k]) & (owner[k:] == owner[:-k])], minlength=n) / total for k in range(1, LAGS + 1)]
+    return np.column_stack([counts, *shares]).astype(np.float32)
 
 
 def counted(column: pa.Array) -> Iterator[np.ndarray]:
@@ -49,10 +58,14 @@ def counted(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF rows of unit length; rows without trigrams stay zero."""
-    x = np.log1p(counts) * idf
+    """TF-IDF rows of unit length and the shares; rows without trigrams stay zero."""
+    x = np.log1p(counts)
+    x[:, :BUCKETS] *= idf
+    x[:, BUCKETS:] = 0
     length = np.sqrt(np.einsum("ij,ij->i", x, x))
-    return x / np.where(length > 0, length, 1)[:, None]
+    x /= np.where(length > 0, length, 1)[:, None]
+    x[:, BUCKETS:] = counts[:, BUCKETS:] / SHARE
+    return x
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -62,12 +75,12 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def fit(counts: np.ndarray, y: np.ndarray, shares: dict[int, float]) -> dict:
     """Idf, projection and the labelled vectors with the weights of their votes."""
-    idf = np.log((1 + len(y)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
+    idf = np.log((1 + len(y)) / (1 + (counts[:, :BUCKETS] > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
     x = weighted(counts, idf)
     rng = np.random.Generator(np.random.PCG64(11))
     k = min(DIMENSIONS, *x.shape)
     # randomised range finder with three power steps
-    q = np.linalg.qr(x.T @ (x @ rng.standard_normal((BUCKETS, k + 16)).astype(np.float32)))[0]
+    q = np.linalg.qr(x.T @ (x @ rng.standard_normal((x.shape[1], k + 16)).astype(np.float32)))[0]
     for _ in range(3):
         q = np.linalg.qr(x.T @ (x @ q))[0]
     _, _, vt = np.linalg.svd(x @ q, full_matrices=False)
