@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidegrid.llm import bpe_codec, decontaminate, exact_dedup, language, line_dedup, minhash, quality, token_counts, toxicity
+from tidegrid.llm import bpe_codec, chat, decontaminate, exact_dedup, language, line_dedup, minhash, quality, token_counts, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_toxicity": toxicity.query,
     "op3_bpe_codec": bpe_codec.query,
+    "op4_chat_format": chat.query,
     "op5_line_dedup": line_dedup.query,
     "op6_minhash": minhash.query,
     "op7_quality": quality.query,
