@@ -16,7 +16,7 @@ form a class, represented by its smallest doc_id; only representatives are compa
    compared or known to be connected.
 
 With the defaults a pair at similarity 0.85 has no common band with a probability below 2e-6,
-and the estimate drops it with a probability below 1e-6 (five standard deviations).
+and the estimate drops it with a probability below 4e-5 (four standard deviations), far less above it.
 
 Defined results: null, empty and white-space texts have an empty set, n_shingles 0 and are
 linked with nothing; a document of fewer words than a shingle has one shingle, the whole
@@ -38,7 +38,7 @@ from tidegrid import session
 from tidegrid.llm import textvec
 from tidegrid.llm.components import components
 
-LANES, LONGS = 256, 8
+LANES, LONGS = 512, 16
 SIGNED = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, " + ", ".join(f"s{i} long" for i in range(LONGS))
 
 
@@ -135,9 +135,9 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
     inside = members.select("rep").distinct()
     sketches = session.written(first.join(inside, "rep", "left_semi").dropDuplicates(["rep"]), "sketches")
 
-    # estimated share of equal lanes at the threshold, less five standard deviations
+    # estimated share of equal lanes at the threshold, less four standard deviations
     share = percent / 100 + (1 - percent / 100) / 4
-    least = int(LANES * (share - 5 * (share * (1 - share) / LANES) ** 0.5))
+    least = int(LANES * (share - 4 * (share * (1 - share) / LANES) ** 0.5))
 
     def close(x: str, y: str) -> str:
         def differing(i: int) -> str:
