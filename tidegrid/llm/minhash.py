@@ -155,7 +155,7 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = session.written(pairs, "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        wanted = pairs.select(F.col("a").alias("doc_id")).distinct().unionByName(pairs.select(F.col("b").alias("doc_id")).distinct()).distinct()
         chosen = session.written(_chosen(texts, wanted), "texts")
         joined = pairs.join(chosen.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
         joined = joined.join(chosen.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
@@ -170,7 +170,8 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
     links = confirmed(tried)
     labels = components(links)
     # of a bucket of several components, the member of most links against the others
-    degrees = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
+    ends = links.groupBy(F.col("a").alias("rep")).count().unionByName(links.groupBy(F.col("b").alias("rep")).count())
+    degrees = ends.groupBy("rep").agg(F.sum("count").alias("degree"))
     labelled = members.select("bucket", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
