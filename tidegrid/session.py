@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH_ROWS = 1024
+
+
 def build(app: str = "tidegrid", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC time, AQE and ANSI on; further settings by keyword."""
     builder = SparkSession.builder.appName(app)
@@ -54,7 +57,8 @@ def discard(df: DataFrame) -> None:
 
 
 def workers_see(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did."""
+    """Let Python workers import this package from where the driver did, and give them batches that long texts don't swell."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = spark.sparkContext.environment
     known = env.get("PYTHONPATH", "").split(os.pathsep)
