@@ -61,7 +61,7 @@ def _signer(width: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band_factors = textvec.powers(rows + 1)[1:]
-        for batch in batches:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             n = batch.num_rows
             sizes, keys, mins = np.zeros(n, np.int64), np.zeros((n, 2), np.uint64), np.zeros((n, LANES), np.uint32)
             for i, values in enumerate(textvec.shingle_sets(batch.column("text"), width)):
