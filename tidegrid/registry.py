@@ -179,7 +179,7 @@ def error_histogram(spark, t):
     return quality.error_histogram(normalize.normalize(raw_orders(t), price_contract(dst_policy="strict")))
 
 
-@query("""SELECT count(*) AS rows, min(ts) AS start_utc, max(ts) AS end_utc, count(*) FILTER (WHERE CAST(epoch(ts) AS BIGINT) % 3600 <> 0) AS off_hour_rows,
+@query("""SELECT count(*) AS rows, min(ts) AS start_utc, max(ts) AS end_utc, count(*) FILTER (WHERE CAST(floor(epoch(ts)) AS BIGINT) % 3600 <> 0) AS off_hour_rows,
   count(*) FILTER (WHERE ts IS NULL) AS null_timestamp_utc, count(*) FILTER (WHERE value IS NULL) AS null_value, count(*) FILTER (WHERE value < 0) AS negative_value FROM events""")
 def profile_scalars(spark, t):
     df = t("events").select(F.col("ts").cast("timestamp").alias(KEY), "value")
