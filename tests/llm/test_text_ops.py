@@ -16,6 +16,9 @@ def strange_texts():
     rng = random.Random(6)
     letters = "abcdefg hijklm  \n\t'sS'tİΣσς<|endoftext|>éÀ́ß½²٣日本🙂\u0085  　\x1c\x1f0123$$%&,.!?aaaa"
     out = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
+    # characters on which Unicode versions differ, and some beside them
+    newer = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c in vocabulary.SMALL or c % 7 == 0 and vocabulary.LATER.match(chr(c)))]
+    out += [f"a{x}b {x}{x}1 \t{x}\n x" for x in newer]
     return [*out, "a" * 5000, "ab" * 2000, "$" * 2000, " " * 3000, "the" * 2000, *("".join(rng.choice("etaoinshr") for _ in range(3000)) for _ in range(3))]
 
 

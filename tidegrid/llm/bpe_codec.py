@@ -108,10 +108,12 @@ class Transducer(dict):
         for i, part in enumerate(self.vocab.parts_of(text)):
             if i % 2:
                 yield _packed([self.vocab.special[part]])
-            elif len(part) < PIECES:
-                yield b"".join(map(self.__getitem__, self.vocab.pattern.findall(self.vocab.prepare(part))))
+                continue
+            part = self.vocab.prepare(part)
+            if len(part) < PIECES:
+                yield b"".join(map(self.__getitem__, self.vocab.cutter(part).findall(part)))
             else:
-                words = (m.group() for m in self.vocab.pattern.finditer(self.vocab.prepare(part)))
+                words = (m.group() for m in self.vocab.cutter(part).finditer(part))
                 while some := list(islice(words, PIECES)):
                     yield b"".join(map(self.__getitem__, some))
         if len(self) > KEPT:

@@ -71,7 +71,8 @@ class WordCounts(dict):
             if i % 2:
                 total += 1
             elif part:
-                total += sum(map(self.__getitem__, self.vocab.pattern.findall(self.vocab.prepare(part))))
+                part = self.vocab.prepare(part)
+                total += sum(map(self.__getitem__, self.vocab.cutter(part).findall(part)))
         if len(self) > KEPT:
             self.clear()
         return total

@@ -13,6 +13,23 @@ import regex
 #: Patterns fixed by the vocabularies: how text is cut before merges.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Letters and numbers that Unicode versions after 16 added. The vocabularies' library doesn't know them, so
+#: for it they are neither.
+LATER_LETTERS = (
+    r"\u0558\u058B-\u058C\u088F\u0C5C\u0CDC\u208F\u209D-\u209F\uA7CE-\uA7CF\uA7D2\uA7D4\uA7DD\uA7E2\uA7F1\uAB6C-\uAB6D"
+    r"\U000107BB-\U000107BF\U00010940-\U00010959\U00010EC5-\U00010EC7\U00010ED9-\U00010EEE\U00011B0A\U00011DB0-\U00011DDB\U00011DF1"
+    r"\U00016EA0-\U00016EB8\U00016EBB-\U00016ED3\U00016FF2-\U00016FF3\U000187F8-\U000187FF\U00018CD6-\U00018CDA\U00018D09-\U00018D20"
+    r"\U00018D80-\U00018DF2\U00018E00-\U00019191\U000191A0-\U000191D2\U0001B123-\U0001B128\U0001B168\U0001D6A6\U0001DF1F-\U0001DF24"
+    r"\U0001DF2B-\U0001DF81\U0001DF90-\U0001DF96\U0001DFCD-\U0001DFFF\U0001E6C0-\U0001E6DE\U0001E6E0-\U0001E6E2\U0001E6E4-\U0001E6E5"
+    r"\U0001E6E7-\U0001E6ED\U0001E6F0-\U0001E6F4\U0001E6FE-\U0001E6FF\U0002B73A-\U0002B73F\U0002B81E\U0002CEA2-\U0002CEAD"
+    r"\U000323B0-\U00033479\U0003D000-\U0003FC3F"
+)
+LATER_NUMBERS = r"\U00011DE0-\U00011DE9\U0001246F\U00012475-\U0001247F\U00012550-\U00012686\U00016FF4-\U00016FF6"
+LATER = regex.compile(f"[{LATER_LETTERS}{LATER_NUMBERS}]")
+#: Capitals of Unicode 16 and 17, which Python's own tables lack, with their small letters.
+SMALL = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+SMALL |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+
 _loaded: dict[str, "Vocabulary"] = {}
 
 
@@ -65,7 +82,10 @@ class Vocabulary:
         names = sorted(self.special, key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.prepare = self._normalizer(spec["normalizer"])
-        self.pattern = regex.compile(self._pattern(spec["pre_tokenizer"]))
+        pattern = self._pattern(spec["pre_tokenizer"])
+        self.pattern = regex.compile(pattern)
+        known = pattern.replace(r"\p{L}", rf"[\p{{L}}--[{LATER_LETTERS}]]").replace(r"\p{N}", rf"[\p{{N}}--[{LATER_NUMBERS}]]")
+        self.pattern_of_later = regex.compile(known, regex.V1)
 
     @staticmethod
     def _normalizer(spec: dict | None) -> Callable[[str], str]:
@@ -80,7 +100,7 @@ class Vocabulary:
             if text.isascii():
                 return text.lower()
             # letter by letter, so a final capital sigma becomes the common small one
-            return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+            return unicodedata.normalize("NFC", text).replace("Σ", "σ").translate(SMALL).lower()
 
         return prepare
 
@@ -93,6 +113,10 @@ class Vocabulary:
             return first["pattern"]["Regex"]
         raise ValueError("unknown pre-tokenizer")
 
+    def cutter(self, text: str) -> regex.Pattern:
+        """The pattern that cuts a text into words."""
+        return self.pattern if text.isascii() or not LATER.search(text) else self.pattern_of_later
+
     def symbols(self, word: bytes) -> list[int]:
         """The symbols of the single bytes of a whole word."""
         out = [self.first[b] for b in word]
