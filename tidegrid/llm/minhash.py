@@ -217,3 +217,26 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near duplicates over the whole of ``documents``."""
     return near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS shingles
+  FROM w
+), spread AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM spread a JOIN spread b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.other
+), lowest AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN lowest USING (doc_id)
+"""
