@@ -77,6 +77,22 @@ def test_minhash_equals_brute_force(spark, width, percent, bands, rows):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(data, width, percent)
 
 
+@pytest.mark.parametrize(("width", "percent", "bands", "rows", "common"), [(3, 85, 28, 6, 7), (5, 80, 32, 5, 5)])
+def test_minhash_short_texts_just_similar_enough(spark, width, percent, bands, rows, common):
+    """Pairs of 4 to 20 shingles, of which one text has all and the other just enough, and nothing else is alike."""
+    rng = random.Random(21)
+    data, expected = [], {}
+    for i in range(0, 6000, 2):
+        n = common if i % 4 else rng.randint(4, 20)
+        fewer = -(-percent * n // 100)
+        words = [f"{rng.getrandbits(48):x}" for _ in range(n + width - 1)]
+        data += [(i, " ".join(words)), (i + 1, " ".join(words[: fewer + width - 1]))]
+        expected |= {i: (n, i), i + 1: (fewer, i)}
+    assert brute(data[:200], width, percent) == {i: expected[i] for i in range(200)}
+    got = minhash.near_groups(spark.createDataFrame(data, SCHEMA), width, percent, bands, rows).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == expected
+
+
 def test_minhash_odd_rows(odd, empty):
     got = minhash.near_groups(odd).collect()
     assert len(got) == odd.count()

@@ -3,8 +3,9 @@
 A document's set holds 64-bit hashes of its distinct word shingles. Documents of equal sets
 form a class, represented by its smallest doc_id; only representatives are compared.
 
-1. Each set gives ``bands * rows`` minima. The minima of a band make its key; of all minima the
-   low two bits are kept, packed into longs: the sketch.
+1. Each set gives ``LANES`` minima. Of the first ``bands * rows``, those of a band make its key; of
+   all, two bits of a mix are kept, packed into longs: the sketch. (The low bits of the minima
+   themselves are equal in every lane for values that agree in theirs.)
 2. Representatives that share a band key are candidates. Two sketches estimate the similarity
    by counting equal lanes, corrected for lanes that are equal by chance (one in four); pairs
    estimated far below the threshold are dropped, the others are confirmed on their sets.
@@ -16,7 +17,7 @@ form a class, represented by its smallest doc_id; only representatives are compa
    compared or known to be connected.
 
 With the defaults a pair at similarity 0.85 has no common band with a probability below 2e-6,
-and the estimate drops it with a probability below 4e-5 (four standard deviations), far less above it.
+and the estimate drops it with a probability below 5e-5 (four standard deviations), far less above it.
 
 Defined results: null, empty and white-space texts have an empty set, n_shingles 0 and are
 linked with nothing; a document of fewer words than a shingle has one shingle, the whole
@@ -73,7 +74,7 @@ def _signer(width: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBa
             band = textvec.mix((grid * band_factors).sum(axis=2, dtype=np.uint64) + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             flat = pa.array(band.reshape(-1).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), flat)
-            packed = ((mins & np.uint32(3)).reshape(n, LONGS, 32).astype(np.uint64) << lane).sum(axis=2, dtype=np.uint64).view(np.int64)
+            packed = ((textvec.mix(mins.astype(np.uint64)) & np.uint64(3)).reshape(n, LONGS, 32) << lane).sum(axis=2, dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(sizes), *(pa.array(keys[:, i].copy().view(np.int64)) for i in (0, 1)), lists, *(pa.array(packed[:, i].copy()) for i in range(LONGS))],
                 names=["doc_id", "n_shingles", "k1", "k2", "bands", *(f"s{i}" for i in range(LONGS))],
