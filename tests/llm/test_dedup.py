@@ -169,6 +169,19 @@ def test_line_links_equal_brute_force(spark):
     assert members == {p: first[x] for p, x in at.items() if x.strip()}
 
 
+def test_line_query_links_short_lines(spark, tmp_path):
+    """All links of lines of 1 to 12 characters, one place for each, are those of brute force."""
+    rng = random.Random(12)
+    lines = ["And ornd.", "And | ornd.", "Is with.", "Is | with.", "a", "é", "ab", "abc", "abcd", "abcde"]
+    lines += ["".join(rng.choice("abcdé ") for _ in range(rng.randint(0, 11))) + "z" for _ in range(150)]
+    lines = list(dict.fromkeys(lines))
+    docs = [(i, x) for i, x in enumerate(lines)]
+    spark.createDataFrame(docs, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    links = [(r["doc_id"], r["to_doc"], r["distance"]) for r in line_dedup.query(spark, str(tmp_path)).filter("relation = 'link'").collect()]
+    expected = {(i, j, d) for i, x in docs for j, y in docs if i < j and (d := distance(x, y)) <= 2}
+    assert len(links) == len(set(links)) and set(links) == expected
+
+
 def test_lines_cleaned(spark, odd, empty):
     rows = [(1, "a line of some length\n\nshort\nshort", 1), (2, "a line of sume length\nshort\nnew line that stays", 2), (3, None, 3)]
     got = {r["doc_id"]: r["text"] for r in line_dedup.cleaned(spark.createDataFrame(rows, SCHEMA + ", _drop int")).collect()}
