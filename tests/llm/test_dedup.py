@@ -93,6 +93,59 @@ def test_minhash_short_texts_just_similar_enough(spark, width, percent, bands, r
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == expected
 
 
+def family(rng, n, shingles, width, edits):
+    """Texts made from one by replacing single words, so that pairs lie on either side of the threshold."""
+    base = [f"{rng.getrandbits(40):x}" for _ in range(shingles + width - 1)]
+    out = []
+    for _ in range(n):
+        own = list(base)
+        for at in rng.sample(range(len(own)), rng.choice(edits)):
+            own[at] = f"{rng.getrandbits(40):x}" if rng.random() < 0.7 else f"w{at}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("small", [2, 64])
+def test_minhash_families_on_both_sides_of_the_threshold(spark, small):
+    """Large buckets of texts just below the threshold, by differences from a centre, equal brute force."""
+    rng = random.Random(small)
+    texts = family(rng, 160, 100, 3, [1, 2, 3, 3, 4]) + family(rng, 80, 60, 3, [1, 2, 2, 3]) + family(rng, 60, 30, 3, [1, 1, 2])
+    rng.shuffle(texts)
+    data = list(enumerate(texts))
+    expected = brute(data, 3, 85)
+    assert 20 < len({root for _, root in expected.values()}) < 280
+    got = minhash.near_groups(spark.createDataFrame(data, SCHEMA), small=small).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == expected
+
+
+def test_minhash_pairs_grow_with_members(spark, monkeypatch):
+    """A family twice as large has about twice the rows of every table, not four times."""
+    rng, rows, written = random.Random(31), [], minhash.session.written
+    texts = family(rng, 800, 100, 3, [3, 4, 5])
+
+    def counting(df, name):
+        out = written(df, name)
+        if name not in ("labels", "edges"):
+            rows[-1][name] = max(rows[-1].get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(minhash.session, "written", counting)
+    for n in (400, 800):
+        rows.append({})
+        minhash.near_groups(spark.createDataFrame(list(enumerate(texts[:n])), SCHEMA))
+    assert rows[1]["pairs"] <= 8 * 800 and all(v <= 2.8 * rows[0][k] + 200 for k, v in rows[1].items()), rows
+
+
+def test_minhash_long_words_without_pattern_differ(spark):
+    """Words in Thue-Morse order and their complements, whose sums agree under powers of one number, stay apart."""
+    data = []
+    for bits in (10, 11, 12):
+        word = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << bits))
+        data += [(bits, word), (bits + 100, word.translate(str.maketrans("ab", "ba")))]
+    got = minhash.near_groups(spark.createDataFrame(data, SCHEMA)).collect()
+    assert all(r["kept"] and r["n_shingles"] == 1 for r in got)
+
+
 def test_minhash_odd_rows(odd, empty):
     got = minhash.near_groups(odd).collect()
     assert len(got) == odd.count()
@@ -146,40 +199,88 @@ def test_banded_distance_and_segments():
                 assert index & {(n, i, y[s : s + z]) for n, i, s, z in line_dedup.probes(len(y), most)}
 
 
-def test_line_links_equal_brute_force(spark):
-    rng = random.Random(9)
-    lines = []
-    for _ in range(40):
-        base = "".join(rng.choice("abcdef ") for _ in range(rng.randint(6, 30))) + "z"
-        lines += [base] + [edited(rng, base, "abcdef", rng.randint(0, 3)) for _ in range(3)]
-    docs = [(i, "\n".join(lines[i * 8 : i * 8 + 8])) for i in range(len(lines) // 8)]
-    got = line_dedup.related(spark.createDataFrame(docs, SCHEMA)).collect()
-    at = {(d, n): x for d, text in docs for n, x in enumerate(text.split("\n"))}
+def classes_by_brute_force(docs, edits=2):
+    """{place: smallest place of its class}, {place: smallest place of its equals}, {pair of smallest places: distance}."""
+    at = {(d, n): x for d, text in docs for n, x in enumerate((text or "").split("\n")) if re.sub("[\x20\x09-\x0d]", "", x)}
     first = {}
     for place in sorted(at):
         first.setdefault(at[place], place)
-    expected = set()
+    root = {p: p for p in first.values()}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    links = {}
     for x, p in first.items():
         for y, q in first.items():
-            if p < q and min(len(x), len(y)) >= 10 and x.strip() and y.strip() and (d := distance(x, y)) <= 2:
-                expected.add((*p, *q, d))
-    links = [(r["doc_id"], r["line_no"], r["to_doc"], r["to_line"], r["distance"]) for r in got if r["relation"] == "link"]
-    assert len(links) == len(set(links)) and set(links) == expected
-    members = {(r["doc_id"], r["line_no"]): (r["to_doc"], r["to_line"]) for r in got if r["relation"] == "member"}
-    assert members == {p: first[x] for p, x in at.items() if x.strip()}
+            if p < q and abs(len(x) - len(y)) <= edits and (d := distance(x, y)) <= edits:
+                links[p, q] = d
+                low, high = sorted((find(p), find(q)))
+                root[high] = low
+    return {p: find(first[x]) for p, x in at.items()}, {p: first[x] for p, x in at.items()}, links
+
+
+def same_as_brute_force(rows, docs):
+    classes, equals, links = classes_by_brute_force(docs)
+    members = [r for r in rows if r["relation"] == "member"]
+    assert len(members) == len(classes)
+    assert {(r["doc_id"], r["line_no"]): (r["class_doc"], r["class_line"]) for r in members} == classes
+    assert {(r["doc_id"], r["line_no"]): (r["to_doc"], r["to_line"]) for r in members} == equals
+    found = {((r["doc_id"], r["line_no"]), (r["to_doc"], r["to_line"])): r["distance"] for r in rows if r["relation"] == "link"}
+    assert found.items() <= links.items()
+    # the links that are listed connect every class
+    root = {p: p for p in equals.values()}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for p, q in found:
+        low, high = sorted((find(p), find(q)))
+        root[high] = low
+    assert all(find(p) == classes[p] for p in root)
+    return found, links
+
+
+@pytest.mark.parametrize(("small", "levels"), [(1024, 2), (2, 3)])
+def test_line_classes_equal_brute_force(spark, monkeypatch, small, levels):
+    """Families of lines, on either side of two edits, in keys that are crossed at once or cut again."""
+    rng = random.Random(9 + levels)
+    lines = []
+    for _ in range(40):
+        base = "".join(rng.choice("abcdef ") for _ in range(rng.randint(6, 30))) + "z"
+        lines += [base] + [edited(rng, base, "abcdef", rng.randint(0, 3)) for _ in range(3)]
+    long = "".join(rng.choice("abcdefgh ") for _ in range(70))
+    lines += [edited(rng, long, "abcdefghé", rng.choice([1, 2, 2, 3, 3, 4])) for _ in range(120)]
+    docs = [(i, "\n".join(lines[i * 8 : i * 8 + 8])) for i in range(len(lines) // 8)]
+    links_of = line_dedup.links_of
+    monkeypatch.setattr(line_dedup, "links_of", lambda classes, edits: links_of(classes, edits, small, levels))
+    same_as_brute_force(line_dedup.related(spark.createDataFrame(docs, SCHEMA)).collect(), docs)
 
 
 def test_line_query_links_short_lines(spark, tmp_path):
-    """All links of lines of 1 to 12 characters, one place for each, are those of brute force."""
+    """Classes of lines of 1 to 12 characters, one place for each, are those of brute force."""
     rng = random.Random(12)
-    lines = ["And ornd.", "And | ornd.", "Is with.", "Is | with.", "a", "é", "ab", "abc", "abcd", "abcde"]
-    lines += ["".join(rng.choice("abcdé ") for _ in range(rng.randint(0, 11))) + "z" for _ in range(150)]
-    lines = list(dict.fromkeys(lines))
-    docs = [(i, x) for i, x in enumerate(lines)]
+    lines = ["And ornd.", "And | ornd.", "Is with.", "Is | with.", "a", "é", "ab", "abc", "abcd", "abcde", "abcdefghi", "abcdefghj"]
+    lines += ["".join(rng.choice("abcdé ") for _ in range(rng.randint(5, 11))) + "z" for _ in range(40)]
+    lines += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rng.randint(1, 11))) for _ in range(150)]
+    lines = [x for x in dict.fromkeys(lines) if x.strip()]
+    docs = list(enumerate(lines))
     spark.createDataFrame(docs, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
-    links = [(r["doc_id"], r["to_doc"], r["distance"]) for r in line_dedup.query(spark, str(tmp_path)).filter("relation = 'link'").collect()]
-    expected = {(i, j, d) for i, x in docs for j, y in docs if i < j and (d := distance(x, y)) <= 2}
-    assert len(links) == len(set(links)) and set(links) == expected
+    same_as_brute_force(line_dedup.query(spark, str(tmp_path)).collect(), docs)
+
+
+def test_line_family_takes_rows_in_proportion(spark):
+    """Lines one letter away from a template: pairs grow with the square, the result doesn't."""
+    rng = random.Random(15)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(48))
+    lines = [base[:i] + "XYZ"[k] + base[i + 1 :] for i in range(48) for k in range(3)]
+    docs = list(enumerate(lines))
+    found, links = same_as_brute_force(line_dedup.related(spark.createDataFrame(docs, SCHEMA)).collect(), docs)
+    assert len(links) > 50 * len(lines) and len(found) <= 4 * len(lines)
 
 
 def test_lines_cleaned(spark, odd, empty):

@@ -11,10 +11,18 @@ form a class, represented by its smallest doc_id; only representatives are compa
    estimated far below the threshold are dropped, the others are confirmed on their sets.
 3. Groups are never expanded into pairs. First, each representative is compared with the
    smallest one that any of its buckets holds. Where a bucket still holds several components,
-   its member of most links is compared with those of other components. Where it still does,
-   the members outside its largest component are compared with all members of other
-   components, each pair in the first bucket that it shares. So every pair in a bucket is either
-   compared or known to be connected.
+   its member of most links, the centre, is compared with those of other components.
+4. Where a bucket still does, and has at most ``small`` members, these are compared by sketch, each pair in the
+   first bucket that it shares. The members of a larger one are described by their difference from the centre, the
+   shingles that one of both has alone. Two sets x and y differ in |dx| + |dy| - 2 |dx and dy| shingles. If the
+   differences dx and dy share none, a link between x and y implies that both are linked with
+   the centre; so a member that isn't links only with those whose difference shares shingles
+   with its own, and at least a number of them that follows from the sizes. A prefix of each
+   difference of which one must be shared is indexed, what the member has added first, since that is rare
+   in a family. Those that share an indexed shingle are compared with the smallest of them, and at last, where
+   components still differ and the shingles left suffice, with each other. So every pair in a
+   bucket is compared, known to be connected or known to be no link, while a family of
+   texts on either side of the threshold takes rows in proportion to its members.
 
 With the defaults a pair at similarity 0.85 has no common band with a probability below 2e-6,
 and the estimate drops it with a probability below 5e-5 (four standard deviations), far less above it.
@@ -61,7 +69,7 @@ def _signer(width: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBa
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        band_factors = textvec.powers(rows + 1)[1:]
+        band_factors = textvec.factors(rows + 1)[1:]
         for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             n = batch.num_rows
             sizes, keys, mins = np.zeros(n, np.int64), np.zeros((n, 2), np.uint64), np.zeros((n, LANES), np.uint32)
@@ -112,7 +120,48 @@ def _chosen(texts: DataFrame, wanted: DataFrame, bits: int = 1 << 26) -> DataFra
     return passed.select("doc_id", "text")
 
 
-def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int = 28, rows: int = 6) -> DataFrame:
+def _difference(width: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The shingles in which members (rep, y) differ from their centres (center, x), added ones first.
+
+    Times 2 * (100 + percent), a member that isn't linked with the centre shares more than ``far`` shingles with
+    a member it is linked with, and that one more than ``near``. Only places at which the first of so many can be are kept.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = zip(textvec.shingle_sets(batch.column("x"), width), textvec.shingle_sets(batch.column("y"), width))
+            for center, rep, (x, y) in zip(batch.column("center").to_pylist(), batch.column("rep").to_pylist(), sets):
+                added, missing = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+                n, differ = len(y), len(added) + len(missing)
+                near = (100 + percent) * differ - (100 - percent) * (len(added) - len(missing))
+                far = (100 + percent) * differ - (100 - percent) * (n + len(x))
+                index = differ - near // (2 * (100 + percent))
+                probe = differ - far // (2 * (100 + percent)) if far > 0 else 0
+                at = np.arange(max(index, probe))
+                rows = {"center": center, "rep": rep, "n": n, "differ": differ}
+                columns = {k: pa.repeat(pa.scalar(v, pa.int64()), len(at)) for k, v in rows.items()}
+                columns |= {"token": pa.array(np.concatenate([added, missing])[: len(at)].view(np.int64)), "at": pa.array(at), "indexed": pa.array(at < index), "probing": pa.array(at < probe)}
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return run
+
+
+def _differing(texts: DataFrame, around: DataFrame, width: int, percent: int) -> DataFrame:
+    """center, rep, n (shingles of rep), differ, token, at, indexed, probing, written: a row for each shingle of the prefix in which rep differs from its centre."""
+    wanted = around.select(F.col("center").alias("doc_id")).distinct().unionByName(around.select(F.col("rep").alias("doc_id"))).distinct()
+    chosen = session.written(_chosen(texts, wanted), "texts")
+    pairs = around.filter("center <> rep").join(chosen.select(F.col("doc_id").alias("center"), F.col("text").alias("x")), "center")
+    pairs = pairs.join(chosen.select(F.col("doc_id").alias("rep"), F.col("text").alias("y")), "rep").select("center", "rep", "x", "y")
+    rows = session.written(pairs.mapInArrow(_difference(width, percent), "center long, rep long, n long, differ long, token long, at long, indexed boolean, probing boolean"), "prefixes")
+    # a shingle that one member alone has, or that none looks up, leads nowhere
+    some = rows.groupBy("center", "token").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.bool_or("indexed").alias("x"), F.bool_or("probing").alias("y")).filter("low < high AND x AND y")
+    out = session.written(rows.join(some.select("center", "token"), ["center", "token"], "left_semi"), "differences")
+    session.discard(chosen)
+    session.discard(rows)
+    return out
+
+
+def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int = 28, rows: int = 6, small: int = 64) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Documents are linked where 100 * intersection >= ``percent`` * union of their sets of
@@ -184,19 +233,48 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
     more = estimated(more.distinct()).join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(confirmed(more))
     labels = components(links)
-    # what lies outside a bucket's largest component, against all that lies outside its own
-    again = mixed.select("bucket", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    again = session.written(again.withColumn("component", F.coalesce("component", "rep")), "mixed")
-    share_of = again.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = share_of.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-    rest = again.join(largest.select("bucket", F.col("top.component").alias("major")), "bucket").join(sketches, "rep")
-    rest = session.written(rest, "rest")
-    x = rest.filter("component <> major").alias("x")
+    # buckets that still hold several components: small ones are crossed, each pair in the first bucket that it shares
+    labelled = members.select("bucket", "rep").join(center, "bucket").select("bucket", "rep", "a")
+    labelled = labelled.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    still = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("many")).filter("low < high")
+    labelled = session.written(labelled.join(still.select("bucket", "many"), "bucket"), "mixed")
+    rest = labelled.filter(f"many <= {small}").select("bucket", "component", "rep").join(sketches, "rep")
     shared = "x.bucket = element_at(filter(zip_with(x.bands, y.bands, (p, q) -> if(p = q, p, null)), p -> p IS NOT NULL), 1)"
-    crossed = x.join(rest.alias("y"), F.expr(f"x.bucket = y.bucket AND x.component <> y.component AND (y.component = y.major OR x.rep < y.rep) AND {close('x', 'y')} AND {shared}"))
-    crossed = crossed.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    links = links.unionByName(confirmed(crossed))
-    labels = components(links)
+    crossed = rest.alias("x").join(rest.alias("y"), F.expr(f"x.bucket = y.bucket AND x.rep < y.rep AND x.component <> y.component AND {close('x', 'y')} AND {shared}"))
+    crossed = crossed.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    # members of larger ones by their difference from the centre
+    around = session.written(labelled.filter(f"many > {small}").select(F.col("a").alias("center"), "rep").distinct(), "around")
+    if around.isEmpty():
+        links = links.unionByName(confirmed(crossed))
+        labels = components(links)
+    else:
+        tokens = _differing(texts, around, width, percent)
+
+        def grouped() -> tuple[DataFrame, DataFrame]:
+            """Probing and indexed shingles with today's components; only members outside the centre's component probe."""
+            own = labels.select(F.col("node").alias("rep"), "component")
+            held = labels.select(F.col("node").alias("center"), F.col("component").alias("home"))
+            rows = tokens.join(own, "rep", "left").join(held, "center", "left")
+            rows = rows.withColumn("component", F.coalesce("component", "rep")).withColumn("home", F.coalesce("home", "center"))
+            return rows.filter("probing AND component <> home").alias("x"), rows.filter("indexed").alias("y")
+
+        x, y = grouped()
+        stars = x.join(y.groupBy("center", "token").agg(F.min("rep").alias("a")), ["center", "token"])
+        stars = stars.groupBy(F.col("rep").alias("b"), "center").agg(F.min("a").alias("a")).filter("a <> b")
+        stars = estimated(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        links = links.unionByName(confirmed(crossed.unionByName(stars).distinct()))
+        labels = components(links)
+        x, y = grouped()
+        # the shingles that both must share, times 2 * (100 + percent), and those that are left from here on
+        needed = f"({100 + percent} * (x.differ + y.differ) - {100 - percent} * (x.n + y.n))"
+        left = f"{2 * (100 + percent)} * least(x.differ - x.at, y.differ - y.at)"
+        far = x.join(y, F.expr(f"x.center = y.center AND x.token = y.token AND x.component <> y.component AND {left} >= {needed}"))
+        far = far.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+        links = links.unionByName(confirmed(estimated(far)))
+        labels = components(links)
+        session.discard(tokens)
+    for table in (first, members, sketches, tried, mixed, labelled, around):
+        session.discard(table)
     return _assigned(signed, classes, labels)
 
 

@@ -24,20 +24,9 @@ LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 BYTE_HASH = _rng.integers(0, 1 << 63, 256, dtype=U64) * U64(2) + U64(1)
-_powers = np.ones(1, U64)
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
-def powers(n: int) -> np.ndarray:
-    """The first ``n`` powers of an odd number, modulo 2**64."""
-    global _powers
-    if len(_powers) < n:
-        out = np.full(max(n, 4096), U64(0xD1342543DE82EF95), U64)
-        out[0] = 1
-        _powers = np.multiply.accumulate(out)
-    return _powers[:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective mix of 64-bit values."""
     x = x ^ (x >> U64(30))
@@ -48,6 +37,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_factors = np.ones(1, U64)
+
+
+def factors(n: int) -> np.ndarray:
+    """The first ``n`` of a sequence of odd numbers without structure, one for each place."""
+    global _factors
+    if len(_factors) < n:
+        _factors = mix(np.arange(1, max(n, 4096) + 1, dtype=U64) * _STEP) | U64(1)
+    return _factors[:n]
+
+
 def blocks(column: pa.Array, size: int = BLOCK, rows: int = 4096) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of consecutive rows; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -63,6 +63,16 @@ def blocks(column: pa.Array, size: int = BLOCK, rows: int = 4096) -> Iterator[tu
         first = last
 
 
+def letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of UTF-8 bytes and the offsets of rows among them."""
+    first = (data & 0xC0) != 0x80
+    if first.all():
+        return data.astype(np.uint32), offsets
+    before = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(first, out=before[1:])
+    return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), before[offsets]
+
+
 def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and rows of the runs of ``inside`` bytes, none of which crosses rows."""
     n = len(inside)
@@ -81,7 +91,11 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span; spans are in order and don't overlap."""
+    """A 64-bit hash of the bytes of each span; spans are in order and don't overlap.
+
+    It is a sum of a random number for each byte times one for its place, so the order of bytes in
+    words as long as they may be gives no pattern in which sums agree.
+    """
     if not len(starts):
         return np.zeros(0, U64)
     lengths = ends - starts
@@ -89,7 +103,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     base = np.zeros(len(starts), np.int64)
     np.cumsum(lengths[:-1], out=base[1:])
     place = np.arange(total) - np.repeat(base, lengths)
-    values = BYTE_HASH[data[place + np.repeat(starts, lengths)]] * powers(int(lengths.max()))[place]
+    values = BYTE_HASH[data[place + np.repeat(starts, lengths)]] * factors(int(lengths.max()))[place]
     return mix(np.add.reduceat(values, base) + lengths.astype(U64) * _STEP)
 
 
@@ -98,7 +112,7 @@ def shingles(words: np.ndarray, rows: np.ndarray, n_rows: int, width: int) -> tu
 
     A row of fewer words gives its whole sequence as one shingle, a row of none gives none.
     """
-    factors = powers(width + 2)[2:] | U64(1)
+    weights = factors(width + 2)[2:]
     counts = np.bincount(rows, minlength=n_rows)
     first = np.zeros(n_rows, np.int64)
     np.cumsum(counts[:-1], out=first[1:])
@@ -107,7 +121,7 @@ def shingles(words: np.ndarray, rows: np.ndarray, n_rows: int, width: int) -> tu
         whole = rows[: len(rows) - width + 1] == rows[width - 1 :]
         value = np.zeros(len(whole), U64)
         for i in range(width):
-            value += words[i : i + len(whole)] * factors[i]
+            value += words[i : i + len(whole)] * weights[i]
         found.append(mix(value[whole] + U64(width)))
         owners.append(rows[: len(whole)][whole])
     for n in range(1, width):
@@ -115,7 +129,7 @@ def shingles(words: np.ndarray, rows: np.ndarray, n_rows: int, width: int) -> tu
         if len(short):
             value = np.full(len(short), n, U64)
             for i in range(n):
-                value += words[first[short] + i] * factors[i]
+                value += words[first[short] + i] * weights[i]
             found.append(mix(value))
             owners.append(short)
     if not found:
