@@ -1,8 +1,11 @@
 import hashlib
+import math
 import random
 from array import array
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -22,36 +25,87 @@ def strange_texts():
     return [*out, "a" * 5000, "ab" * 2000, "$" * 2000, " " * 3000, "the" * 2000, *("".join(rng.choice("etaoinshr") for _ in range(3000)) for _ in range(3))]
 
 
-def test_transducer_equals_library():
-    library, source = Tokenizer.from_file(BYTES), open(BYTES).read()
-    coder = bpe_codec.transducer(source)
-    for text in strange_texts():
-        ids = array("I", b"".join(coder.encode(text))).tolist()
-        assert ids == library.encode(text, add_special_tokens=False).ids
-        decoder = bpe_codec.Decoder(coder.vocab)
-        assert "".join([*(decoder.feed(array("I", [x]).tobytes()) for x in ids), decoder.feed(b"", True)]) == library.decode(ids, skip_special_tokens=False)
+def cut(rng, text, most):
+    """A text in pieces of up to ``most`` characters."""
+    at = 0
+    while at < len(text):
+        size = rng.randint(1, most)
+        yield text[at : at + size]
+        at += size
+
 
+def long_texts():
+    """Texts in which words, white space and special strings are longer than a small piece."""
+    rng = random.Random(16)
+    out = []
+    for _ in range(120):
+        parts = []
+        for _ in range(rng.randint(1, 8)):
+            kind = rng.choice(["aé", "12½", " ", " \n\u3000", "$.'", "'s", "日本", "e\u0301À", "\u1112\u1161\u11ab", "abc d", "<|endoftext|>", "\x1c ", "\U0001E6C0x"])
+            parts.append("".join(rng.choice(kind) for _ in range(rng.choice([1, 3, 40, 300, 900]))) if rng.random() < 0.8 else kind * rng.randint(1, 40))
+        out.append("".join(parts))
+    return out
 
-def test_stream_is_bounded_and_independent_of_chunks():
+
+def test_transducer_equals_library(monkeypatch):
+    library, source = Tokenizer.from_file(BYTES), open(BYTES).read()
+    coder, rng = bpe_codec.transducer(source), random.Random(1)
+    for small in (False, True):
+        if small:
+            monkeypatch.setattr(vocabulary, "PIECE", 150)
+        for text in [*long_texts(), *strange_texts()[:: 7 if small else 1]]:
+            ids = array("I", b"".join(coder.encode(cut(rng, text, 200) if small else [text]))).tolist()
+            assert ids == library.encode(text, add_special_tokens=False).ids
+            decoder = bpe_codec.Decoder(coder.vocab)
+            assert "".join([*(decoder.feed(array("I", [x]).tobytes()) for x in ids), decoder.feed(b"", True)]) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_stream_is_independent_of_parts():
     coder = bpe_codec.transducer(open(BYTES).read())
     rng = random.Random(2)
     word = "".join(rng.choice("etaoinshrdlu") for _ in range(20_000)).encode()
-    whole = coder.merged(coder.vocab.symbols(word[:4000]))
-    assert list(coder.stream([word[:4000]])) == whole
-    widest, merged = 0, coder.merged
-    coder.merged = lambda symbols: (globals().__setitem__("_w", max(globals().get("_w", 0), len(symbols))), merged(symbols))[1]
-    cut = [word[i : i + 777] for i in range(0, len(word), 777)]
-    assert list(coder.stream(cut)) == list(coder.stream([word]))
-    widest = globals()["_w"]
-    del coder.merged
-    assert widest <= 2 * (4 * coder.lookahead + bpe_codec.LONG_WORD)
+    assert list(coder.stream([word[:4000]])) == coder.merged(coder.vocab.symbols(word[:4000]))
+    assert list(coder.stream([word[i : i + 777] for i in range(0, len(word), 777)])) == list(coder.stream([word]))
+
+
+@pytest.mark.parametrize(("path", "kind"), [(BYTES, bpe_codec.Transducer), (WORDS, token_counts.Counter)])
+def test_memory_is_bounded_over_a_long_text(monkeypatch, path, kind):
+    """50 MB of words, and long words of each kind of character: symbols and characters held stay those of a window and a piece."""
+    coder = kind(vocabulary.Vocabulary(open(path).read()))
+    most, settle, words = {"symbols": 0, "characters": 0}, coder.settle, coder.vocab.words
+
+    def settled(symbols, stable):
+        most["symbols"] = max(most["symbols"], len(symbols))
+        return settle(symbols, stable)
 
+    def seen(chunks):
+        for some, part, ended, special in words(chunks):
+            most["characters"] = max(most["characters"], sum(map(len, some)), len(part))
+            yield some, part, ended, special
 
-def test_counts_equal_library():
-    library = Tokenizer.from_file(WORDS)
-    counts = token_counts.WordCounts(vocabulary.Vocabulary(open(WORDS).read()))
-    for text in strange_texts():
-        assert counts.of(text) == len(library.encode(text, add_special_tokens=False).ids)
+    monkeypatch.setattr(coder, "settle", settled)
+    monkeypatch.setattr(coder.vocab, "words", seen)
+    rng = random.Random(5)
+    piece = "".join(rng.choice(["the ", "of ", "Wort ", "année, ", "x1 ", "... ", "\n"]) for _ in range(12_000))
+    texts = [(piece for _ in range(50_000_000 // len(piece.encode()))), *((x * 50_000 for _ in range(6)) for x in ("ab", " ", "$", "é"))]
+    for text in texts:
+        n = sum(len(x) // 4 for x in coder.encode(text)) if kind is bpe_codec.Transducer else coder.of(text)
+        assert n > 10_000 or kind is token_counts.Counter
+    assert most["symbols"] <= 2 * coder.vocab.window and most["characters"] <= 3 * vocabulary.PIECE
+    small = vocabulary.Kept(len, most=20_000)
+    for i in range(10_000):
+        assert small[f"{i:06d}"] == 6 and small["x" * 65] == 65
+    assert len(small) * 230 <= 20_000
+
+
+def test_counts_equal_library(monkeypatch):
+    library, rng = Tokenizer.from_file(WORDS), random.Random(3)
+    counts = token_counts.Counter(vocabulary.Vocabulary(open(WORDS).read()))
+    for small in (False, True):
+        if small:
+            monkeypatch.setattr(vocabulary, "PIECE", 150)
+        for text in [*long_texts(), *strange_texts()[:: 7 if small else 1]]:
+            assert counts.of(cut(rng, text, 200) if small else [text]) == len(library.encode(text, add_special_tokens=False).ids)
 
 
 def test_tokens_of_odd_rows(odd, empty):
@@ -159,78 +213,257 @@ def test_classifiers_on_odd_rows(spark, odd, empty):
     assert toxicity.clean(odd, labels.limit(0)).columns == odd.columns and toxicity.clean(empty, labels).count() == 0
 
 
-def test_counterfactual_term_evens_swaps():
-    """A term that only stands in toxic texts loses weight against the one it is swapped with."""
-    import numpy as np
-    import pyarrow as pa
+def objective(x, y, weight, swaps, w, bias, l1, strength):
+    p = 1 / (1 + np.exp(-(x @ w + bias)))
+    loss = -(weight / weight.sum()) @ (y * np.log(p + 1e-12) + (1 - y) * np.log(1 - p + 1e-12))
+    share = np.array([n for *_, n in swaps]) / max(1, sum(n for *_, n in swaps))
+    return loss + l1 * np.abs(w).sum() + strength * sum(s * (w[new].sum() - w[gone].sum()) ** 2 for s, (gone, new, _) in zip(share, swaps))
+
+
+def test_toxicity_fit_reaches_the_minimum():
+    """Against plain steps down the gradient of the same sum, many and small."""
+    rng = np.random.default_rng(4)
+    x = (rng.random((80, 12)) < 0.4).astype(float)
+    y = (x[:, 0] + x[:, 1] - x[:, 2] + 0.5 * rng.standard_normal(80) > 0.6).astype(float)
+    weight, swaps, l1, strength = np.where(y == 1, 4.0, 1.0), [(np.array([0]), np.array([3]), 5), (np.array([1, 4]), np.array([5]), 2)], 3e-4, 1.0
+    found = toxicity.fit([np.flatnonzero(r) for r in x], y, weight, swaps, l1=l1, counterfactual=strength)
+    w = np.zeros(12)
+    w[found["at"]] = found["w"]
+    v, bias = np.zeros(12), 0.0
+    share = [n / 7 for *_, n in swaps]
+    for _ in range(60_000):
+        g = weight / weight.sum() * (1 / (1 + np.exp(-(x @ v + bias))) - y)
+        grad = x.T @ g
+        for s, (gone, new, _) in zip(share, swaps):
+            d = v[new].sum() - v[gone].sum()
+            grad[new] += 2 * strength * s * d
+            grad[gone] -= 2 * strength * s * d
+        v -= 0.1 * grad
+        v = np.sign(v) * np.maximum(np.abs(v) - 0.1 * l1, 0)
+        bias -= 0.1 * g.sum()
+    least = objective(x, y, weight, swaps, v, bias, l1, strength)
+    assert objective(x, y, weight, swaps, w, found["bias"], l1, strength) <= least * 1.02 + 1e-4
+
+
+def test_swaps_are_those_of_sentences():
+    """All terms of all groups, beside punctuation too, with the features of the whole sentences before and after."""
+    terms = toxicity.others()
+    assert set(terms["muslim"]) >= {"christian", "jewish", "hindu", "buddhist", "atheist", "christ", "jude"} and terms["he"] == ["she"]
+    text = "Is he, she? No woman; \"Er\" geht! elle"
+    pairs = set(toxicity.sentences(text, terms))
+    assert {("is he, she", "is she, she"), ("is he, she", "is he, he"), (' no woman; "er" geht', ' no man; "er" geht'), (' no woman; "er" geht', ' no woman; "sie" geht'), (" elle", " il")} == pairs
+    found = [(set(a.tolist()), set(b.tolist())) for a, b in toxicity.swaps(pa.array([text, None]))]
+    sets = lambda x: set(next(iter(toxicity.presence(pa.array([x])))).tolist())
+    assert sorted(map(sorted, (a | b for a, b in found))) == sorted(map(sorted, (sets(x) ^ sets(y) for x, y in toxicity.sentences(text, terms))))
+
+
+def test_counterfactual_term_spares_neutral_mentions(spark):
+    """Where toxic documents mostly name some groups, neutral texts that name them are false alarms without the term."""
+    rng = random.Random(1)
+    plain = ["house", "river", "walked", "market", "letter", "garden", "music", "winter", "teacher", "bridge", "window", "coffee"]
+    named, counterparts, insults = ["women", "muslim", "black", "gay"], ["men", "christian", "white", "straight"], ["scum", "vermin", "filthy", "disgusting"]
+    text = lambda more: " ".join(rng.sample(plain, 5) + more) + "."
+    toxic = [text([rng.choice(insults)] * (rng.random() < 0.8) + [rng.choice(named)]) for _ in range(300)]
+    fine = [text([rng.choice(counterparts)] if rng.random() < 0.5 else []) for _ in range(600)]
+    neutral, insulting = [text([rng.choice(named)]) for _ in range(200)], [text([rng.choice(insults), rng.choice(counterparts)]) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate([*toxic, *fine, *neutral, *insulting])), SCHEMA)
+    labels = spark.createDataFrame([(i, int(i < 300)) for i in range(900)], "doc_id long, toxic int")
+    alarms = {}
+    for strength in (0.0, 1.0):
+        got = {r["doc_id"]: r["predicted"] for r in toxicity.scored(docs, labels, counterfactual=strength).collect()}
+        alarms[strength] = sum(got[i] for i in range(900, 1100)) / 200
+    assert alarms[0.0] > 0.8 and alarms[1.0] < 0.25 and sum(got[i] for i in range(1100, 1300)) > 190
+
+
+def test_quality_votes_equal_brute_force():
+    """Trigrams, projection and votes of all neighbours as near as the last, text by text."""
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("abcde fgh") for _ in range(rng.randint(0, 200))) for _ in range(60)]
+    column = pa.array([*texts, None, "ab", texts[3]])
+    counts = np.concatenate(list(quality.counted(column)))
+    for row, text in zip(counts, column.to_pylist()):
+        own = np.zeros(quality.BUCKETS)
+        raw = (text or "").encode()
+        for i in range(len(raw) - 2):
+            own[((raw[i] << 16 | raw[i + 1] << 8 | raw[i + 2]) * 2654435769 % 2**32) >> 20] += 1
+        assert (row[: quality.BUCKETS] == own).all()
+    y = np.array([rng.randint(0, 1) for _ in range(40)] + [1, 0])
+    train = np.concatenate([counts[:40], counts[:2]])  # two vectors twice
+    idf = quality.sampling.idf_of(np.count_nonzero(counts[:, : quality.BUCKETS], axis=0), len(counts))
+    model = quality.fit(train, y, {0: 0.7, 1: 0.3}, idf)
+    got = quality.vote(model, counts, neighbours=5)
+    for row, score in zip(counts, got):
+        x = np.log1p(row[: quality.BUCKETS]) * idf
+        x = np.concatenate([x / (np.linalg.norm(x) or 1), row[quality.BUCKETS :] / quality.SHARE]) @ model["basis"]
+        x /= np.linalg.norm(x) or 1
+        cosines = [float(x @ v) for v in model["vectors"]]
+        last = sorted(cosines)[-5]
+        votes = [(math.exp(8 * c) * w, label) for c, w, label in zip(cosines, model["vote"], y) if c >= last - 1e-5]
+        expected = sum(v for v, label in votes if label) / sum(v for v, _ in votes) if row.any() else 0.3
+        assert abs(score - expected) < 1e-3
+
+
+def test_language_ngrams_and_steps_equal_brute_force():
+    """Characters, not bytes; follow-the-regularised-leader with one weight at a time."""
+    texts = ["Привет, мир", "ΑΒΓ abc", "日本語", "", None, "aÄ", "x"]
+    blocks = np.concatenate(list(language.counted(pa.array(texts))))
+    for row, text in zip(blocks, texts):
+        own, letters = np.zeros(1 << language.BITS), [ord(c) for c in (text or "").lower()]
+        for n in (1, 2, 3):
+            for i in range(len(letters) - n + 1):
+                x = 0
+                for c in letters[i : i + n]:
+                    x = (x + c + 1) * 0x9E3779B97F4A7C15 % 2**64
+                own[x >> 64 - language.BITS] += 1
+        assert (row == own).all()
+    rng = np.random.default_rng(2)
+    counts, y = rng.integers(0, 3, (30, 6)).astype(np.float32), rng.integers(0, 3, 30)
+    idf = np.ones(6, np.float32)
+    got = language.fit(counts, y, 3, idf, epochs=2, batch=4)
+    x = np.log1p(counts)
+    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    x = np.hstack([x, np.ones((30, 1))])
+    order = np.random.Generator(np.random.PCG64(3))
+    train = order.permutation(30)[6:]
+    z, n = np.zeros((7, 3)), np.zeros((7, 3))
+
+    def weight(i, c):
+        if abs(z[i, c]) <= 0.02:
+            return 0.0
+        return -(z[i, c] - math.copysign(0.02, z[i, c])) / ((1.0 + math.sqrt(n[i, c])) / 2.0 + 0.01)
+
+    for _ in range(2):
+        order.shuffle(train)
+        for at in range(0, len(train), 4):
+            own = train[at : at + 4]
+            w = np.array([[weight(i, c) for c in range(3)] for i in range(7)])
+            grad = np.zeros((7, 3))
+            for r in own:
+                e = np.exp(x[r] @ w - (x[r] @ w).max())
+                grad += np.outer(x[r], e / e.sum() - np.eye(3)[y[r]]) / len(own)
+            for i in range(7):
+                for c in range(3):
+                    g = grad[i, c]
+                    z[i, c] += g - (math.sqrt(n[i, c] + g * g) - math.sqrt(n[i, c])) / 2.0 * w[i, c]
+                    n[i, c] += g * g
+    expected = np.array([[weight(i, c) for c in range(3)] for i in range(7)])
+    assert np.abs(np.vstack([got["w"], got["bias"]]) - expected).max() < 1e-3
+
+
+def test_language_of_another_script(spark):
+    """Two languages in Cyrillic letters that differ in their words only, from every value of lang, also rare ones."""
+    rng = random.Random(13)
+    words = {"ru": "что это как его все она так было тогда человек время".split(), "uk": "що це як його все вона так було тоді людина час".split(), "el": "και το να του της με που".split()}
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(rng.randint(4, 30))), lang) for i in range(900) for lang in [rng.choice(["ru", "uk", "uk", "ru", "ru", "el"])]]
+    rows += [(1000 + i, "zzz qqq", f"l{i % 250}") for i in range(1000)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", lang string")
+    got = {r["doc_id"]: r for r in language.identified(docs).collect()}
+    held = [(got[i]["lang_pred"], lang) for i, _, lang in rows if i < 900 and got[i]["held_out"]]
+    assert len(held) > 200 and sum(a == b for a, b in held) / len(held) > 0.97
+
+
+def test_frequencies_cover_all_rows(spark):
+    texts = spark.createDataFrame([(f"abc{i % 3}",) for i in range(3000)] + [(None,), ("",)], "text string").repartition(5)
+    found, n = quality.sampling.document_frequencies(texts, quality.counted, quality.BUCKETS)
+    assert n == 3002 and found.max() == 3000 and found.sum() == 3000 + 3000
+
+
+def test_sample_holds_every_value(spark):
+    rows = spark.createDataFrame([(i, f"v{i % 3000}") for i in range(6000)] + [(i, "big") for i in range(6000, 20_000)], "doc_id long, lang string")
+    sample, counts = quality.sampling.balanced(rows, "lang", 100)
+    sizes = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
+    assert len(counts) == len(sizes) == 3001 and 50 < sizes.pop("big") < 160 and set(sizes.values()) == {2}
+
+
+def test_candidates_of_decontamination_are_few(spark):
+    """Of all pairs of a window of random words and an item, hardly any reach the fingerprints, though items hold a third of all pairs of words."""
+    rng = random.Random(18)
+    words = [f"w{i}" for i in range(60)]
+    draw = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = spark.createDataFrame([(i, draw(30)) for i in range(50)] + [(None, draw(30))], "item_id long, text string")
+    docs = spark.createDataFrame([(i, draw(200)) for i in range(200)], SCHEMA)
+    own = decontaminate.items_of(items, 2)
+    found = decontaminate.candidates(docs, own, 2, 80, True, 1000)
+    pairs = found.selectExpr("sum(size(items))").first()[0] or 0
+    assert pairs < 0.01 * 200 * 171 * 51, pairs
+
+
+#: Costs and legal turns of the task, apart from the module's tables.
+INSERT, RELABEL, NAME, MERGE = 3, 2, 1, 1
+
+
+def follows(before, role):
+    return role in {"start": ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)}[before]
+
 
-    texts = [f"those women are awful thing{i}" for i in range(20)] + [f"men are fine thing{i}" for i in range(20)]
-    rows = list(toxicity.presence(pa.array(texts)))
-    y, weight = np.array([1.0] * 20 + [0.0] * 20), np.ones(40)
-    pairs = toxicity.swaps(pa.array(texts))
-    gap = []
-    for strength in (0.0, 30.0):
-        found = toxicity.fit(rows, y, weight, pairs, counterfactual=strength)
-        w = dict(zip(found["at"].tolist(), found["w"].tolist()))
-        gone, new = toxicity.swaps(pa.array(["women are fine"]))[0]
-        gap.append(abs(sum(w.get(int(x), 0) for x in new) - sum(w.get(int(x), 0) for x in gone)))
-    assert len(pairs) == 40 and gap[1] < 0.2 * gap[0]
+def cheapest(roles):
+    """The least cost over all repairs, enumerated one by one: every given turn is kept, relabelled or merged, empty turns stand between."""
+    best = [10**9]
+
+    def go(i, last, cost, given):
+        """``last``: the role of the last turn; ``given``: whether that turn was given."""
+        if cost >= best[0]:
+            return
+        if i == len(roles) and last in ("start", "assistant"):
+            best[0] = cost
+            return
+        for role in ("system", "user", "assistant"):
+            if follows(last, role):
+                if i < len(roles):
+                    go(i + 1, role, cost + (0 if roles[i] == role else NAME if roles[i] is None else RELABEL), True)
+                go(i, role, cost + INSERT, False)
+        if i < len(roles) and given:
+            go(i + 1, last, cost + MERGE + (0 if roles[i] == last else NAME if roles[i] is None else RELABEL), True)
+
+    go(0, "start", 0, False)
+    return best[0]
 
 
 def legal(roles):
-    state = chat.START
+    last = "start"
     for role in roles:
-        if role not in chat.LEGAL[state]:
+        if not follows(last, role):
             return False
-        state = role
-    return state in (chat.ASSISTANT, chat.START)
-
-
-def cheapest(roles):
-    """By search over all repairs: costs of insertions, relabels and merges."""
-    best = {chat.START: 0}
-    for role in roles:
-        after = {}
-        for state, cost in best.items():
-            for via, path in enumerate(chat.INSERTED[state]):
-                if path is None:
-                    continue
-                for to in chat.LEGAL[via]:
-                    c = cost + chat.INSERT * len(path) + (0 if to == role else chat.NAME if role is None else chat.RELABEL)
-                    after[to] = min(after.get(to, 1 << 30), c)
-            if state != chat.START:
-                c = cost + chat.MERGE + (0 if state == role else chat.NAME if role is None else chat.RELABEL)
-                after[state] = min(after.get(state, 1 << 30), c)
-        best = after
-    return min(c + chat.INSERT * len(chat.ENDS[s]) for s, c in best.items())
+        last = role
+    return last in ("start", "assistant")
 
 
 def test_repair_is_cheapest_and_legal():
     rng = random.Random(3)
-    for _ in range(500):
-        roles = [rng.choice([None, 1, 2, 3]) for _ in range(rng.randint(1, 9))]
+    names = {None: None, 1: "system", 2: "user", 3: "assistant"}
+    for _ in range(300):
+        roles = [rng.choice([None, 1, 2, 3]) for _ in range(rng.randint(1, 7))]
         moves, tail = chat.repair(roles)
-        out, cost = [], chat.INSERT * len(tail)
+        out, cost = [], INSERT * len(tail)
         for role, (action, to, path) in zip(roles, moves):
-            cost += chat.INSERT * len(path) + (chat.MERGE if action == "merge" else 0) + (0 if role == to else chat.NAME if role is None else chat.RELABEL)
+            cost += INSERT * len(path) + (MERGE if action == "merge" else 0) + (0 if role == to else NAME if role is None else RELABEL)
             out += [*path] + [to] * (action != "merge")
-        assert legal([*out, *tail]) and cost == cheapest(roles)
+        assert legal([names[x] for x in [*out, *tail]]) and cost == cheapest([names[x] for x in roles])
 
 
-def test_chat_in_chunks_costs_the_same(spark, monkeypatch):
+def test_chat_in_chunks_costs_the_same(spark):
+    """Conversations over many chunks, with columns of clashing names: the repair of each is legal and costs what one without chunks does."""
     rng = random.Random(5)
     names = ["user", "Assistant ", "system", None, "tool", "human"]
-    rows = [(c, t, rng.choice(names), f"text {t}") for c, n in ((1, 40), (2, 3), (None, 4), (3, 1)) for t in range(n)] + [(4, None, "user", None), (4, 1, "user", "")] * 2
-    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
-    got = chat.formatted(turns).orderBy("conv_id", "chunk", "place").collect()
-    monkeypatch.setattr(chat, "CHUNK", 4)
-    assert len(got) == len(rows)
-    for conv in (1, 2, None, 3, 4):
-        own = [r for r in got if r["conv_id"] == conv]
-        text = "".join(r["piece"] for r in own)
-        roles = [chat.ROLES.index(x.split("\n")[0]) for x in text.split("<|im_start|>")[1:]]
-        assert legal(roles) and text.count("<|im_start|>") == text.count("<|im_end|>")
-        cost = sum(chat.INSERT * len(r["inserted"]) + (chat.MERGE if r["action"] == "merge" else 0) for r in own)
-        cost += sum(0 if chat.role_of(r["given"]) == chat.ROLES.index(r["role"]) else chat.NAME if chat.role_of(r["given"]) is None else chat.RELABEL for r in own)
-        assert cost == cheapest([chat.role_of(r["given"]) for r in own])
+    known = {"user": "user", "Assistant ": "assistant", "system": "system", "human": "user"}
+    rows = [(c, t, rng.choice(names), f"text {t}") for c, n in ((1, 40), (2, 3), (None, 7), (3, 1), (5, 9)) for t in range(n)] + [(4, None, "user", None), (4, 1, "user", "")] * 2
+    rows = [(*r, 1, "x", 2, "y", 3) for r in rows]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, chunk int, piece string, place int, action string, entry int").repartition(3)
+
+    def cost_of(own):
+        cost = sum(INSERT * len(r["inserted"]) + (MERGE if r["action"] == "merge" else 0) for r in own)
+        return cost + sum(0 if known.get(r["given"]) == r["role"] else NAME if known.get(r["given"]) is None else RELABEL for r in own)
+
+    costs = {}
+    for size in (4096, 4):
+        got = chat.formatted(turns, chunk=size).orderBy("conv_id", "chunk", "place").collect()
+        assert len(got) == len(rows) and (size > 4 or len({r["chunk"] for r in got}) > 10)
+        for conv in (1, 2, None, 3, 4, 5):
+            own = [r for r in got if r["conv_id"] == conv]
+            text = "".join(r["piece"] for r in own)
+            assert legal([x.split("\n")[0] for x in text.split("<|im_start|>")[1:]]) and text.count("<|im_start|>") == text.count("<|im_end|>")
+            costs[size, conv] = cost_of(own)
+            if len(own) < 8:
+                assert costs[size, conv] == cheapest([known.get(r["given"]) for r in own])
+    assert all(costs[4, c] == costs[4096, c] for _, c in costs)
     assert chat.formatted(turns.limit(0)).count() == 0

@@ -15,7 +15,7 @@ conversation joined in order of ``chunk`` and ``place`` are its rendering.
 Defined results: roles are compared in lower case without outer white space, with common aliases; a null or unknown role has no
 legal turn of its own and must be relabelled or merged. Null and empty texts are empty turns. Null turn numbers come first; ties
 of conv_id and turn are ordered by a hash of role and text, and repeated rows are all kept as turns. Rows of null conv_id form one
-conversation. Other columns are ignored. An empty table gives an empty result.
+conversation. Texts of any length are carried whole. Other columns, whatever their names, are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -152,18 +152,23 @@ def _runs(convs: list) -> list[tuple[int, int]]:
 SORTED = "chunk long, place int, conv_id long, turn long, role string, text string"
 
 
-def _chunker(batches: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
+def _chunker(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Numbers the rows of each task in chunks of ``size``."""
 
-    chunk, place = TaskContext.get().partitionId() << 40, 0
-    for batch in batches:
-        at = 0
-        while at < batch.num_rows:
-            part = batch.slice(at, CHUNK - place)
-            yield pa.RecordBatch.from_arrays([pa.repeat(chunk, part.num_rows), pa.array(np.arange(place, place + part.num_rows, dtype=np.int32)), *part.columns], names=["chunk", "place", *batch.schema.names])
-            at, place = at + part.num_rows, place + part.num_rows
-            if place == CHUNK:
-                chunk, place = chunk + 1, 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        chunk, place = TaskContext.get().partitionId() << 40, 0
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, size - place)
+                yield pa.RecordBatch.from_arrays([pa.repeat(chunk, part.num_rows), pa.array(np.arange(place, place + part.num_rows, dtype=np.int32)), *part.columns], names=["chunk", "place", *batch.schema.names])
+                at, place = at + part.num_rows, place + part.num_rows
+                if place == size:
+                    chunk, place = chunk + 1, 0
+
+    return run
 
 
 def _edges(table: pa.Table) -> pa.Table:
@@ -234,7 +239,7 @@ _REPAIRED = [
 ]
 
 
-def formatted(turns: DataFrame) -> DataFrame:
+def formatted(turns: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """One row for each row of ``turns``: conv_id, chunk, place, turn, given, action, role, inserted, piece.
 
     Order within a conversation is by (chunk, place). ``inserted``: the roles of empty turns before this one, for a
@@ -246,7 +251,7 @@ def formatted(turns: DataFrame) -> DataFrame:
     order = ["conv_id", "turn", "role", "text"]
     by_range = rows.repartitionByRange("conv_id", "turn", F.xxhash64("role", "text")).sortWithinPartitions("conv_id", "turn", F.xxhash64("role", "text"), "role", "text")
     # the ranges rest on a sample, so what they have dealt out is written before it is used twice
-    table = session.written(by_range.select(*order).mapInArrow(_chunker, SORTED), "turns")
+    table = session.written(by_range.select(*order).mapInArrow(_chunker(chunk), SORTED), "turns")
     edges = table.select("chunk", "place", "conv_id", "role").groupBy("chunk").applyInArrow(_edges, "conv_id long, chunk long, costs array<long>")
     states = edges.groupBy("conv_id").applyInArrow(_chained, "chunk long, conv_id long, entry int, leave int")
     return table.groupBy("chunk").cogroup(states.groupBy("chunk")).applyInArrow(_repaired, REPAIRED)

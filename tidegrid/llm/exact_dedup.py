@@ -8,10 +8,11 @@ digest alone never decides:
    a group that holds a third of all rows is merged by many tasks;
 3. the winners of the salts, at most one for each salt and text, are combined globally.
 
-Rows are then sent back to their group by digest. A digest shared by different texts is told
+Rows are then sent back to their group by digest. The digests of large groups, at most ``LARGE``, are broadcast, so
+that no group meets in one task here either. A digest shared by different texts is told
 apart by the text itself.
 
-Defined results: null text counts as empty; empty texts are equal to each other; texts made of
+Defined results: texts of any length are compared whole. Null text counts as empty; empty texts are equal to each other; texts made of
 white space only are equal to one space. A null doc_id loses against any other, and a group of
 null ids keeps a null ``keep_id`` and ``kept`` true. Rows that repeat a doc_id stand for one document:
 each is returned, with the same values. An empty table gives an empty result. Other columns of the
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 
 from tidegrid import session
 
+#: A group is large if it has more than one in so many of the repeated rows; there are fewer than that.
+LARGE = 10_000
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -65,7 +68,15 @@ def _marked(docs: DataFrame, columns: list[str], salts: int) -> DataFrame:
     plain = found.filter("n_texts = 1").select(F.col("text_sha256").alias("_digest"), F.col("keep_id").alias("_keep"), F.col("group_size").alias("_size"))
     clash = found.filter("n_texts > 1").select(F.col("text_sha256").alias("_digest"))
     if clash.isEmpty():
-        joined = rows.join(plain, "_digest", "left")
+        total = found.agg(F.sum("group_size")).first()[0] or 0
+        large = F.col("_size") > total / LARGE
+        most = plain.filter(large).withColumnsRenamed({"_keep": "_large_keep", "_size": "_large_size"})
+        rows = rows.join(F.broadcast(most), "_digest", "left")
+        # rows of large groups are told already and are spread by doc_id
+        key = F.when(F.col("_large_size").isNull(), F.col("_digest")).otherwise(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+        rest = plain.filter(~large).withColumnRenamed("_digest", "_key")
+        joined = rows.withColumn("_key", key).join(rest, "_key", "left")
+        joined = joined.withColumn("_keep", F.coalesce("_large_keep", "_keep")).withColumn("_size", F.coalesce("_large_size", "_size"))
     else:
         texts = winners(docs, salts).withColumnsRenamed({"text_sha256": "_digest", "norm": "_norm", "keep_id": "_keep", "group_size": "_size"})
         clashing = texts.join(clash, "_digest", "left_semi").unionByName(plain.withColumn("_norm", F.lit(None).cast("string")))

@@ -1,12 +1,14 @@
 """Language by sparse multinomial logistic regression on TF-IDF of character n-grams.
 
-N-grams are one to three bytes of the lower-cased text, hashed. The model is learnt from a bounded sample of
+N-grams are one to three characters of the lower-cased text, hashed; their document frequencies are counted over all documents that
+may be learnt from. The weights are learnt from a bounded sample of
 each language with follow-the-regularised-leader steps, whose elastic-net penalty sets most weights to zero. On a
 part of the sample that is kept out of the steps, a temperature is fitted that calibrates the probabilities.
+Every value of lang is learnt, so the model grows with their number, by 32 KB each.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0. Documents of null lang or null
 doc_id are not learnt from; held_out is null for a null doc_id. Where no row can be learnt from, every text is
-``und``. Ties of scores go to the language first in order. Every row gives one row; other columns are
+``und``. Texts of any length are counted whole. Ties of scores go to the language first in order. Every row gives one row; other columns are
 ignored. An empty table gives an empty result.
 """
 
@@ -16,38 +18,36 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid import session
 from tidegrid.llm import sampling, textvec
-from tidegrid.llm.toxicity import lowered
 
 BITS = 13
 
 
 def ngram_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Counts of hashed n-grams of one to three bytes, a row for each text."""
+    """Counts of hashed n-grams of one to three characters, a row for each text."""
     n = len(offsets) - 1
-    data = lowered(data)
+    code, cuts = textvec.letters(data, offsets)
+    code = code.astype(np.uint64) + np.uint64(1)
     out = np.zeros(n << BITS, np.int64)
-    rows = np.repeat(np.arange(n, dtype=np.int64) << BITS, np.diff(offsets))
-    code = data.astype(np.uint32)
-    x = code
+    rows = np.repeat(np.arange(n, dtype=np.int64) << BITS, np.diff(cuts))
+    x = np.zeros(len(code), np.uint64)
     for k in (1, 2, 3):
-        if k > 1:
-            if len(x) < 2:
-                break
-            x = (x[:-1] << np.uint32(8)) | code[k - 1 :]
-        hashed = ((x + np.uint32(k << 24)) * np.uint32(2654435769)) >> np.uint32(32 - BITS)
-        whole = rows[: len(x)] == rows[k - 1 :] if k > 1 else slice(None)
-        out += np.bincount((rows[: len(x)] + hashed)[whole], minlength=len(out))
+        if len(code) < k:
+            break
+        x = (x[: len(code) - k + 1] + code[k - 1 :]) * np.uint64(0x9E3779B97F4A7C15)
+        whole = rows[: len(x)] == rows[k - 1 :]
+        out += np.bincount((rows[: len(x)] + (x >> np.uint64(64 - BITS)).astype(np.int64))[whole], minlength=len(out))
     return out.reshape(n, 1 << BITS).astype(np.float32)
 
 
 def counted(column: pa.Array) -> Iterator[np.ndarray]:
     """N-gram counts of consecutive blocks of rows."""
-    for _, data, offsets in textvec.blocks(column, rows=128):
+    for _, data, offsets in textvec.blocks(pc.utf8_lower(column.cast(pa.large_string())), rows=128):
         yield ngram_counts(data, offsets)
 
 
@@ -62,10 +62,9 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(counts: np.ndarray, y: np.ndarray, classes: int, alpha: float = 2.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01, epochs: int = 6, batch: int = 32) -> dict:
-    """Weights, bias, idf and temperature; a fifth of the rows only calibrates."""
+def fit(counts: np.ndarray, y: np.ndarray, classes: int, idf: np.ndarray, alpha: float = 2.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01, epochs: int = 6, batch: int = 32) -> dict:
+    """Weights, bias and temperature; a fifth of the rows only calibrates."""
     rng = np.random.Generator(np.random.PCG64(3))
-    idf = np.log((1 + len(y)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
     x = weighted(counts, idf)
     order = rng.permutation(len(y))
     held, train = order[: len(y) // 5], order[len(y) // 5 :]
@@ -119,21 +118,24 @@ def _scorer(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
 def _featurizer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         packed = [row.astype("<u4").tobytes() for block in counted(batch.column("text")) for row in block]
-        yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(packed, pa.binary())], names=["lang", "counts"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(packed, pa.binary())], names=["doc_id", "lang", "counts"])
 
 
-def model_of(docs: DataFrame, most: int = 600, languages: int = 200) -> dict:
-    """The classifier of the ``languages`` commonest values of lang, from at most about ``most`` documents of each."""
+def model_of(docs: DataFrame, most: int = 600) -> dict:
+    """The classifier of all values of lang, from at most about ``most`` documents of each; n-grams are counted over all that aren't held out."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(sampling.fold(3) != 1)
-    sample, counts = sampling.balanced(known.select("doc_id", "lang", "text"), "lang", most, classes=languages)
-    found = sample.select("lang", "text").mapInArrow(_featurizer, "lang string, counts binary").toArrow()
+    sample, _ = sampling.balanced(known.select("doc_id", "lang", "text"), "lang", most)
+    # in an order that doesn't depend on partitioning
+    found = sample.select("doc_id", "lang", "text").mapInArrow(_featurizer, "doc_id long, lang string, counts binary").orderBy("doc_id", "lang", "counts").toArrow()
     langs = found.column("lang").to_pylist()
     names = sorted(set(langs))
     if not names:
         return {"names": names}
     grid = np.stack([np.frombuffer(x.as_py(), "<u4") for x in found.column("counts")]).astype(np.float32)
-    return fit(grid, np.array([names.index(x) for x in langs]), len(names)) | {"names": names}
+    idf = sampling.idf_of(*sampling.document_frequencies(known, counted, 1 << BITS))
+    place = {name: i for i, name in enumerate(names)}
+    return fit(grid, np.array([place[x] for x in langs]), len(names), idf) | {"names": names}
 
 
 def identified(docs: DataFrame, most: int = 600) -> DataFrame:

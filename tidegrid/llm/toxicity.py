@@ -5,18 +5,20 @@ fitted on a bounded sample of labelled documents by accelerated proximal gradien
 
     log loss  +  l1 * |w|  +  counterfactual * mean over swaps of (w . (x - x'))**2
 
-where x is a labelled sentence that names an identity and x' the same sentence with the term swapped for
-another of its group. The last term makes the score of a sentence depend little on which identity it
-names, so that neutral mentions aren't taken for insults. All corpus rows are scored, over their whole texts.
+where x is a sentence of a labelled document that names an identity and x' the same sentence with the term swapped for
+another of its groups, each of them in turn. The last term makes the score of a sentence depend little on which identity it
+names, so that neutral mentions aren't taken for insults. Features and swaps are worked out on the executors, equal swaps
+are added up there. All corpus rows are scored, over their whole texts.
 
 Defined results: null, empty and letterless texts have no features; their score is that of the bias alone. If the
 labels hold fewer than two classes the score is the share of toxic labels. Null labels are ignored. A doc_id that
-is labelled twice counts twice. Other columns are ignored by ``scored`` and returned by ``clean``. Rows of null
+is labelled twice, or stands in two rows, counts twice. Texts of any length are read whole. Other columns are ignored by ``scored`` and returned by ``clean``. Rows of null
 doc_id are scored, held_out is null for them and they are never learnt from. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,6 +30,9 @@ from tidegrid import session
 from tidegrid.llm import sampling, textvec
 
 BITS = 20
+#: What a sentence ends at, and words as the features have them.
+ENDS = re.compile(r"[.!?\n]+")
+WORD = re.compile(r"[a-z\u0080-\U0010ffff]+")
 #: Identity terms by group, as fixed values; terms of a group are swapped for each other.
 IDENTITIES = (
     ("he", "she"), ("him", "her"), ("man", "woman"), ("men", "women"), ("boy", "girl"), ("gay", "straight", "lesbian"),
@@ -70,22 +75,37 @@ def presence(column: pa.Array) -> Iterator[np.ndarray]:
             yield values[at[i] : at[i + 1]]
 
 
+def others() -> dict[str, list[str]]:
+    """For each identity term the terms that it is swapped for: all others of its groups."""
+    out: dict[str, set[str]] = {}
+    for terms in IDENTITIES:
+        for term in terms:
+            out.setdefault(term, set()).update(x for x in terms if x != term)
+    return {term: sorted(x) for term, x in out.items()}
+
+
+def sentences(text: str, terms: dict[str, list[str]]) -> Iterator[tuple[str, str]]:
+    """Each sentence that names an identity, with each sentence that a swap of the term makes of it."""
+    for sentence in ENDS.split(text.lower()):
+        words = WORD.findall(sentence)
+        for term in sorted(set(words) & terms.keys()):
+            for other in terms[term]:
+                yield sentence, WORD.sub(lambda m: other if m.group() == term else m.group(), sentence)  # noqa: B023
+
+
 def swaps(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each sentence that names an identity: the features that a swap removes and adds."""
-    group = {term: [x for x in terms if x != term] for terms in IDENTITIES for term in terms}
-    own = dict(zip(group, presence(pa.array(list(group)))))
-    out = []
+    """For each sentence that names an identity and each swap: the features that the swap removes and adds."""
+    terms, out = others(), []
     for text in column:
-        for sentence in (text.as_py() or "").lower().replace("\n", ".").split("."):
-            words = sentence.split()
-            for word in set(words) & group.keys():
-                for other in group[word][:2]:
-                    out.append((np.setdiff1d(own[word], own[other]), np.setdiff1d(own[other], own[word])))
+        pairs = list(sentences(text.as_py() or "", terms))
+        found = presence(pa.array([x for pair in pairs for x in pair], pa.string()))
+        for x, y in zip(found, found):
+            out.append((np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)))
     return out
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, pairs: list, l1: float = 3e-4, counterfactual: float = 1.0, steps: int = 150) -> dict:
-    """Weights by feature and the bias, from features of documents and swaps of their sentences."""
+def fit(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, pairs: list, l1: float = 6e-4, counterfactual: float = 1.0, steps: int = 150) -> dict:
+    """Weights by feature and the bias, from features of documents and (removed, added, number) of the swaps of their sentences."""
     if len(y) == 0 or len(np.unique(y)) < 2:
         p = float(np.average(y, weights=weight)) if len(y) else 0.0
         return {"at": np.zeros(0, np.int64), "w": np.zeros(0), "bias": float(np.log((p + 1e-6) / (1 - p + 1e-6)))}
@@ -97,14 +117,12 @@ def fit(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, pairs: list,
     flat, doc = flat[keep], doc[keep]
     d, n = len(used), len(rows)
     weight = weight / weight.sum()
-    # distinct swaps with their shares, as sparse rows of -1 and +1
-    kinds: dict[bytes, list] = {}
-    for gone, new in pairs:
-        kinds.setdefault(gone.tobytes() + b"|" + new.tobytes(), [0, gone, new])[0] += 1
+    # swaps with their shares, as sparse rows of -1 and +1
+    total = sum(n for _, _, n in pairs)
     place = {int(f): i for i, f in enumerate(used)}
     cols, signs, owner, share = [], [], [], []
-    for k, (count, gone, new) in enumerate(kinds.values()):
-        share.append(count / len(pairs))
+    for k, (gone, new, count) in enumerate(pairs):
+        share.append(count / total)
         for part, sign in ((gone, 1.0), (new, -1.0)):
             at = [place[int(f)] for f in part if int(f) in place]
             cols += at
@@ -160,20 +178,23 @@ def _scorer(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
 
 
 def _featurizer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed features of each row, and a row for each swap of its sentences."""
+    pack = lambda rows: pa.array([x.astype("<i4").tobytes() for x in rows], pa.binary())
+    names = ["doc_id", "toxic", "features", "gone", "new"]
     for batch in batches:
-        column = batch.column("text")
-        sizes = [(len(g), np.concatenate([g, a])) for g, a in swaps(column)]
-        flat = pa.array([pa.array(x) for x in presence(column)], pa.list_(pa.int64()))
-        cuts = pa.array([[x[0] for x in sizes]] + [[]] * (batch.num_rows - 1) if batch.num_rows else [], pa.list_(pa.int64()))
-        both = pa.array([[x[1].tolist() for x in sizes]] + [[]] * (batch.num_rows - 1) if batch.num_rows else [], pa.list_(pa.list_(pa.int64())))
-        yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int32()), flat, cuts, both], names=["toxic", "features", "cuts", "swapped"])
+        n, none = batch.num_rows, pa.nulls
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pack(presence(batch.column("text"))), none(n, pa.binary()), none(n, pa.binary())], names=names)
+        for at in range(n):
+            pairs = swaps(batch.column("text").slice(at, 1))
+            n = len(pairs)
+            yield pa.RecordBatch.from_arrays([none(n, pa.int64()), none(n, pa.int32()), none(n, pa.binary()), pack(x for x, _ in pairs), pack(x for _, x in pairs)], names=names)
 
 
-def model_of(docs: DataFrame, labels: DataFrame, held_out: bool, most: int = 4000, miss: float = 4.0) -> dict:
+def model_of(docs: DataFrame, labels: DataFrame, held_out: bool, most: int = 4000, miss: float = 4.0, counterfactual: float = 1.0) -> dict:
     """The classifier fitted on at most about ``most`` labelled documents of either class.
 
     With ``held_out`` rows whose crc32(doc_id as text) mod 5 is 0 are not learnt from. A toxic
-    document that is missed weighs ``miss`` times as much as a false alarm.
+    document that is missed weighs ``miss`` times as much as a false alarm; ``counterfactual`` is the weight of the term of swaps.
     """
     known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     if held_out:
@@ -181,23 +202,24 @@ def model_of(docs: DataFrame, labels: DataFrame, held_out: bool, most: int = 400
     sample, counts = sampling.balanced(known, "toxic", most)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # the sample has at most about 2 * most rows, whatever the input
-    rows = texts.join(F.broadcast(sample), "doc_id").select("toxic", "text")
-    found = rows.mapInArrow(_featurizer, "toxic int, features array<long>, cuts array<long>, swapped array<array<long>>").toArrow()
+    rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
+    both = session.written(rows.mapInArrow(_featurizer, "doc_id long, toxic int, features binary, gone binary, new binary"), "features")
+    found = both.filter("features IS NOT NULL").select("doc_id", "toxic", "features").orderBy("doc_id", "toxic", "features").toArrow()
+    swapped = both.filter("features IS NULL").groupBy("gone", "new").count().orderBy("gone", "new").toArrow()
+    session.discard(both)
+    unpacked = lambda column: [np.frombuffer(x.as_py(), "<i4").astype(np.int64) for x in column]
     y = np.array(found.column("toxic").to_pylist(), float)
-    parts = [np.asarray(x.values) for x in found.column("features")]
-    pairs = []
-    for cuts, swapped in zip(found.column("cuts").to_pylist(), found.column("swapped").to_pylist()):
-        pairs += [(np.array(x[:k], np.int64), np.array(x[k:], np.int64)) for k, x in zip(cuts, swapped)]
+    pairs = list(zip(unpacked(swapped.column("gone")), unpacked(swapped.column("new")), swapped.column("count").to_pylist()))
     taken = {k: max(1, int((y == k).sum())) for k in counts}
     weight = np.array([(miss if k else 1.0) * counts[int(k)] / taken[int(k)] for k in y]) if len(y) else np.zeros(0)
-    return fit(parts, y, weight, pairs)
+    return fit(unpacked(found.column("features")), y, weight, pairs, counterfactual=counterfactual)
 
 
-def scored(docs: DataFrame, labels: DataFrame, held_out: bool = True, most: int = 4000) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, held_out: bool = True, most: int = 4000, counterfactual: float = 1.0) -> DataFrame:
     """One row for each row of ``docs``: doc_id, held_out, score, predicted."""
     spark = docs.sparkSession
     session.workers_see(spark)
-    model = spark.sparkContext.broadcast(model_of(docs, labels, held_out, most))
+    model = spark.sparkContext.broadcast(model_of(docs, labels, held_out, most, counterfactual=counterfactual))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = rows.mapInArrow(_scorer(model), "doc_id long, score double")
     return out.select("doc_id", (sampling.fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
