@@ -3,13 +3,14 @@
 Encoding. How far to the left can bytes that follow change the tokens of what came before? A difference
 that begins at a symbol moves left only by a merge of that symbol with its left neighbour, and each further move
 needs a merge of higher rank. One pass over the merges, in order of rank, so bounds the distance: the
-sufficient lookahead of the list. A word is read through a window; the tokens that end before
-the lookahead are stable, are emitted and leave the window. Memory is constant in the length of a word.
+sufficient lookahead of the list. A text is read in pieces. Words pass through a window; the tokens that end before
+the lookahead, or with the word, are stable, are emitted and leave the window. So what is held of a text is a piece and a window,
+however long the text or a word of it is.
 
 Decoding. Ids become bytes, bytes become text by a state machine that keeps an unfinished character
 between pieces; bytes that are no UTF-8 become U+FFFD.
 
-Words recur, so the ids of at most ``KEPT`` of them are kept for each worker.
+Words recur, so what the transducer emits for words of up to 64 bytes is kept, within a bounded number of bytes, for each worker.
 
 Defined results: null and empty texts have no tokens, and their decoded text is empty. A special string in a
 text is its one id. Every row gives one row, repeated rows too; other columns are ignored by ``digests``
@@ -23,8 +24,8 @@ import hashlib
 import sys
 from array import array
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,95 +33,73 @@ from pyspark.sql import functions as F
 from tidegrid import session
 from tidegrid.llm import vocabulary
 
-KEPT = 600_000
-LONG_WORD = 64
-PIECES = 65_536
+NEVER = 1 << 30
+#: Ids that are decoded at a time.
+PIECE = 1 << 16
 
 
-def sufficient_lookahead(parts: list[tuple[int, int]], made: list[int], length: dict[int, int]) -> int:
-    """Bytes before the end of what was read within which tokens may still change.
-
-    ``reach[x]``: the farthest that a difference can have moved left when it begins at a symbol x.
-    """
-    reach: dict[int, int] = {}
-    for (a, b), ab in zip(parts, made):
-        moved = reach.get(b, 0) + length[a]
-        reach[ab] = max(reach.get(ab, 0), reach.get(a, 0), moved)
-        reach[a] = max(reach.get(a, 0), moved)
-    return max(reach.values(), default=0)
-
-
-class Transducer(dict):
-    """Words to ids, packed as little-endian 32-bit integers."""
+class Transducer:
+    """Texts that come in pieces to ids, packed as little-endian 32-bit integers."""
 
     def __init__(self, vocab: vocabulary.Vocabulary):
-        super().__init__()
         self.vocab = vocab
-        self.lookahead = sufficient_lookahead(vocab.parts, vocab.made, {k: len(v) for k, v in vocab.bytes.items()})
+        self.kept = vocabulary.Kept(lambda raw: _packed(list(self.stream([raw]))))
 
     def merged(self, symbols: list[int]) -> list[int]:
-        """All merges of a window, each rank from left to right."""
-        ranks, made = self.vocab.ranks, self.vocab.made
-        found = [ranks.get(a << 20 | b, 1 << 30) for a, b in zip(symbols, symbols[1:])]
-        while found and (best := min(found)) < 1 << 30:
-            new, i = made[best], found.index(best)
-            out = symbols[:i]
-            n = len(symbols)
-            while i < n:
-                if i < n - 1 and found[i] == best and symbols[i] << 20 | symbols[i + 1] in ranks:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            symbols = out
-            found = [ranks.get(a << 20 | b, 1 << 30) for a, b in zip(symbols, symbols[1:])]
+        """All merges of the symbols in a window, lowest rank first, of one rank from left to right."""
+        rank, made = self.vocab.ranks.get, self.vocab.made
+        found = [rank(a << 20 | b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        while found and (best := min(found)) < NEVER:
+            i = found.index(best)
+            symbols[i] = new = made[best]
+            del symbols[i + 1], found[i]
+            if i < len(found):
+                found[i] = rank(new << 20 | symbols[i + 1], NEVER)
+            if i:
+                found[i - 1] = rank(symbols[i - 1] << 20 | new, NEVER)
         return symbols
 
-    def stream(self, chunks: Iterable[bytes]) -> Iterator[int]:
-        """The ids of one word that comes in pieces, each as soon as it is stable."""
-        window, size = b"", 4 * self.lookahead + LONG_WORD
-        length = self.vocab.bytes
-        for chunk in chunks:
-            for at in range(0, len(chunk), size):
-                window += chunk[at : at + size]
-                if len(window) <= size:
-                    continue
-                end = 0
-                for token in self.merged([self.vocab.first[b] for b in window]):
-                    if end + len(length[token]) > len(window) - self.lookahead:
-                        break
-                    end += len(length[token])
-                    yield token
-                window = window[end:]
-        yield from self.merged(self.vocab.symbols(window))
-
-    def __missing__(self, word: str) -> bytes:
-        raw = word.encode()
-        ids = self.merged(self.vocab.symbols(raw)) if len(raw) <= LONG_WORD else list(self.stream([raw]))
-        packed = _packed(ids)
-        if len(raw) <= LONG_WORD:
-            self[word] = packed
-        return packed
-
-    def encode(self, text: str) -> Iterator[bytes]:
-        """Packed ids of a text, some tens of thousands of words at a time."""
-        for i, part in enumerate(self.vocab.parts_of(text)):
-            if i % 2:
-                yield _packed([self.vocab.special[part]])
-                continue
-            part = self.vocab.prepare(part)
-            if len(part) < PIECES:
-                yield b"".join(map(self.__getitem__, self.vocab.cutter(part).findall(part)))
-            else:
-                words = (m.group() for m in self.vocab.cutter(part).finditer(part))
-                while some := list(islice(words, PIECES)):
-                    yield b"".join(map(self.__getitem__, some))
-        if len(self) > KEPT:
-            self.clear()
-
-
-def _packed(ids: list[int]) -> bytes:
+    def settle(self, symbols: list[int], stable: int | None) -> tuple[list[int], int]:
+        """Tokens that end within the first ``stable`` bytes and these bytes' number; all tokens where it is None."""
+        size, end = len(symbols), 0
+        tokens = self.merged(symbols)
+        if stable is None:
+            return tokens, size
+        for k, token in enumerate(tokens):
+            if end + len(self.vocab.bytes[token]) > stable:
+                return tokens[:k], end
+            end += len(self.vocab.bytes[token])
+        return tokens, end
+
+    def window(self) -> vocabulary.Window:
+        return vocabulary.Window(self.vocab, self.settle)
+
+    def stream(self, parts: Iterable[bytes]) -> Iterator[int]:
+        """The ids of one word that comes in parts, each as soon as it is stable."""
+        window = self.window()
+        for part in parts:
+            for ids in window.feed(part, False):
+                yield from ids
+        for ids in window.feed(b"", True):
+            yield from ids
+
+    def encode(self, chunks: Iterable[str]) -> Iterator[bytes]:
+        """Packed ids of a text that comes in pieces."""
+        window, kept = None, self.kept.__getitem__
+        for words, part, ended, special in self.vocab.words(chunks):
+            if part:
+                window = window or self.window()
+                for ids in window.feed(part.encode(), ended):
+                    yield _packed(ids)
+                if ended:
+                    window = None
+            if words:
+                yield b"".join(map(kept, words))
+            if special >= 0:
+                yield _packed([special])
+
+
+def _packed(ids: Iterable[int]) -> bytes:
     out = array("I", ids)
     if sys.byteorder == "big":
         out.byteswap()
@@ -157,9 +136,9 @@ def _digester(source) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
         coder = transducer(source.value)
         for batch in batches:
             rows = []
-            for text in batch.column("text").fill_null(""):
+            for text in batch.column("text"):
                 ids, plain, n, decoder = hashlib.sha256(), hashlib.sha256(), 0, Decoder(coder.vocab)
-                for packed in coder.encode(text.as_py()):
+                for packed in coder.encode(vocabulary.chunks_of(text)):
                     ids.update(packed)
                     n += len(packed) // 4
                     plain.update(decoder.feed(packed).encode())
@@ -180,8 +159,10 @@ def _encoder(source) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = [array("I", b"".join(coder.encode(x.as_py()))) for x in part.column("text").fill_null("")]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*part.schema.names, "token_ids"])
+                packed = [b"".join(coder.encode(vocabulary.chunks_of(x))) for x in part.column("text")]
+                cuts = np.cumsum([0, *(len(x) // 4 for x in packed)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "token_ids"])
 
     return run
 
@@ -190,7 +171,11 @@ def _decoder(source) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary.load(source.value)
         for batch in batches:
-            texts = [Decoder(vocab).feed(_packed(x.as_py() or []), True) for x in batch.column("token_ids")]
+            texts = []
+            for ids in batch.column("token_ids"):
+                own, decoder = np.asarray(ids.values if ids.is_valid else [], np.uint32), Decoder(vocab)
+                pieces = [decoder.feed(_packed(own[at : at + PIECE])) for at in range(0, len(own), PIECE)]
+                texts.append("".join([*pieces, decoder.feed(b"", True)]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return run

@@ -2,7 +2,9 @@
 
 The symbols of a word form a linked list; a heap holds the adjacent pairs that can merge. The pair of
 lowest rank, leftmost first, is popped and merged as long as there is one. A word has as many tokens as it had
-symbols, less its merges. Counts of words are kept in a table of at most ``KEPT`` words for each worker.
+symbols, less its merges. A text is read in pieces; of a word longer than a window, the symbols that nothing that
+follows can change any more are counted and leave it, so memory is bounded for any text. Counts of words of up to
+64 bytes are kept, within a bounded number of bytes, for each worker.
 
 Defined results: null and empty texts have no bytes and no tokens, and so has white space where the vocabulary
 drops it. A special string inside a text counts as one token. Every row gives one row, repeated rows too; other
@@ -11,7 +13,7 @@ columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -22,18 +24,17 @@ from pyspark.sql import functions as F
 from tidegrid import session
 from tidegrid.llm import vocabulary
 
-KEPT = 600_000
 
-
-def count_merged(symbols: list[int], ranks: dict[int, int], made: list[int]) -> int:
-    """How many symbols are left when all merges are done."""
+def merges(symbols: list[int], ranks: dict[int, int], made: list[int]) -> tuple[int, list[int]]:
+    """How many symbols are left when all merges are done, and the list of the first place after each."""
     n = len(symbols)
+    after = list(range(1, n + 1))
     heap = [(rank, i) for i in range(n - 1) if (rank := ranks.get(symbols[i] << 20 | symbols[i + 1])) is not None]
     if not heap:
-        return n
+        return n, after
     heapify(heap)
     symbol = [*symbols, -1]
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    before = list(range(-1, n - 1))
     left = n
     while heap:
         rank, i = heappop(heap)
@@ -51,40 +52,48 @@ def count_merged(symbols: list[int], ranks: dict[int, int], made: list[int]) ->
         h = before[i]
         if h >= 0 and (new := ranks.get(symbol[h] << 20 | symbol[i])) is not None:
             heappush(heap, (new, h))
-    return left
+    return left, after
 
 
-class WordCounts(dict):
-    """Tokens of each word, counted when first asked for."""
+class Counter:
+    """Tokens of texts that come in pieces."""
 
     def __init__(self, vocab: vocabulary.Vocabulary):
-        super().__init__()
         self.vocab = vocab
-
-    def __missing__(self, word: str) -> int:
-        n = self[word] = count_merged(self.vocab.symbols(word.encode()), self.vocab.ranks, self.vocab.made)
-        return n
-
-    def of(self, text: str) -> int:
-        total = 0
-        for i, part in enumerate(self.vocab.parts_of(text)):
-            if i % 2:
-                total += 1
-            elif part:
-                part = self.vocab.prepare(part)
-                total += sum(map(self.__getitem__, self.vocab.cutter(part).findall(part)))
-        if len(self) > KEPT:
-            self.clear()
+        self.kept = vocabulary.Kept(lambda raw: sum(self.window().feed(raw, True)))
+
+    def settle(self, symbols: list[int], stable: int | None) -> tuple[int, int]:
+        """How many tokens end within the first ``stable`` bytes, and these bytes' number; all tokens where it is None."""
+        left, after = merges(symbols, self.vocab.ranks, self.vocab.made)
+        if stable is None:
+            return left, len(symbols)
+        n = end = 0
+        while end < len(symbols) and after[end] <= stable:
+            n, end = n + 1, after[end]
+        return n, end
+
+    def window(self) -> vocabulary.Window:
+        return vocabulary.Window(self.vocab, self.settle)
+
+    def of(self, chunks: Iterable[str]) -> int:
+        total, window, kept = 0, None, self.kept.__getitem__
+        for words, part, ended, special in self.vocab.words(chunks):
+            if part:
+                window = window or self.window()
+                total += sum(window.feed(part.encode(), ended))
+                if ended:
+                    window = None
+            total += sum(map(kept, words)) + (special >= 0)
         return total
 
 
-_kept: dict[int, WordCounts] = {}
+_kept: dict[int, Counter] = {}
 
 
-def _counts(vocab: vocabulary.Vocabulary) -> WordCounts:
+def _counts(vocab: vocabulary.Vocabulary) -> Counter:
     if id(vocab) not in _kept:
         _kept.clear()
-        _kept[id(vocab)] = WordCounts(vocab)
+        _kept[id(vocab)] = Counter(vocab)
     return _kept[id(vocab)]
 
 
@@ -93,7 +102,7 @@ def _counter(source) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
         counts = _counts(vocabulary.load(source.value))
         for batch in batches:
             texts = batch.column("text").fill_null("")
-            tokens = pa.array((counts.of(x.as_py()) for x in texts), pa.int64())
+            tokens = pa.array((counts.of(vocabulary.chunks_of(x)) for x in texts), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pc.binary_length(texts).cast(pa.int64()), tokens], names=["doc_id", "n_bytes", "n_tokens"]
             )
