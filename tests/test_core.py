@@ -102,7 +102,7 @@ def test_header_drift_and_malformed_records(spark, tmp_path):
         csv.strict(spark, c)
     for bad in ("a;b", "", "a;b;c;d"):
         c = price(path=write(tmp_path, "c.csv", ["Start date;End date;Price", "x;y;1", bad, "x;y;2"]))
-        with pytest.raises(Exception, match="Malformed record at source row 3"):
+        with pytest.raises(Exception, match="record 3 of .* has [0-9]+ fields, not 3"):
             csv.read(spark, c).collect()
     with pytest.raises(Exception, match="limit of 3 bytes"):
         csv.read(spark, price(path=c.path, max_file_bytes=3)).collect()
@@ -246,3 +246,77 @@ def test_shared_folder_and_written_tables(spark):
     df = session.written(spark.range(5).toDF("x"), "t")
     assert df._tidegrid_path.startswith(session.shared_dir(spark)) and df.count() == 5
     session.discard(df)
+
+
+def test_strict_scan_reads_every_record(spark, tmp_path):
+    """A short record fails a query that needs no column of it."""
+    c = price(path=write(tmp_path, "s.csv", ["Start date;End date;Price", "x;y;-1,000", "x;y;2"]), dst_policy="strict")
+    assert csv.read(spark, c).count() == 2
+    got = csv.setup_report(spark, c, "Price").first()
+    assert (got["rows"], got["columns"], got["negative"]) == (2, 3, 1) and len(got["sha256"]) == 64
+    c = price(path=write(tmp_path, "t.csv", ["Start date;End date;Price", "x;y;1", "a;b"]), dst_policy="strict")
+    with pytest.raises(Exception):
+        csv.read(spark, c).count()
+
+
+def test_profile_in_one_pass_equals_its_parts(spark):
+    rng = random.Random(3)
+    for offset in (0, 7, 0.25):
+        rows = [(T0 + timedelta(seconds=offset) + rng.randrange(40) * HOUR, rng.choice([None, -1.0, 2.0]), rng.choice([[], ["x:missing"]])) for _ in range(50)]
+        rows += [(None, 1.0, ["invalid_timestamp"]), (T0 + 20 * HOUR + timedelta(minutes=3), 1.0, [])]
+        df = spark.createDataFrame(rows, "timestamp_utc timestamp, x double, _errors array<string>")
+        got = quality.profile(df, ["x"]).first().asDict()
+        parts = quality.scalars(df, ["x"]).first().asDict() | quality.duplicate_extra(df).first().asDict() | {"missing_hourly_intervals": quality.missing_intervals(df, block=7).count()}
+        assert {k: got[k] for k in parts} == parts
+
+
+def test_chronology_over_ranges(spark):
+    rng = random.Random(8)
+    rows, expected = [], 0
+    for file in ("a", "b"):
+        before = None
+        for i in range(100):
+            at = rng.choice([None, T0 + i * HOUR, T0 + i * HOUR, T0 + i * HOUR])
+            rows.append((at, file, 3 * i - 20))
+            expected += before is not None and at is not None and at - before != HOUR
+            before = at
+    df = spark.createDataFrame(rows, "timestamp_utc timestamp, _source_file string, _source_row long")
+    for block in (1, 10, 65_536):
+        assert quality.chronology(df.withColumn("timestamp_utc", F.col("timestamp_utc")), block=block).first()[0] == expected
+    steps = spark.createDataFrame([(T0, "a", 2), (T0 + 2 * HOUR, "a", 3), (T0 + 3 * HOUR, "a", 40)], "timestamp_utc timestamp, _source_file string, _source_row long")
+    assert quality.chronology(steps, block=10).first()[0] == 1
+
+
+def test_only_ambiguous_rows_are_paired(spark):
+    """The plan shuffles what lies behind the filter of ambiguous times, and nothing else."""
+    schema = "`Start date` string, `End date` string, Price string, _source_file string, _source_row long"
+    plan = normalize.normalize(spark.createDataFrame([(None, "", "1", "f", 2), ("x", "", "2", "f", 3)], schema), price())
+    assert [r["_errors"] for r in plan.orderBy("_source_row").collect()] == [["missing_timestamp"], ["invalid_timestamp"]]
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    window = text[text.index("Window ") :]
+    assert text.count("Window ") <= 2 and "Filter" in window
+
+
+def test_stored_headers_are_checked(spark):
+    c = price()
+    make = lambda *pairs: spark.range(1).select(*[F.lit("x").alias(safe, metadata={"header": h}) for safe, h in pairs])
+    good = make(("start_date", "Start date"), ("end_date", "End date"), ("price", "Price"))
+    assert pipeline.original_headers(good, c).columns == list(c.expected_columns)
+    for bad in (make(("start_date", "Start date")), make(("start_date", "End date"), ("end_date", "Start date"), ("price", "Price"))):
+        with pytest.raises(ValueError, match="stored header"):
+            pipeline.original_headers(bad, c)
+
+
+def test_shared_folder_is_needed_on_a_cluster(monkeypatch, spark):
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())

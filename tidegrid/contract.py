@@ -72,8 +72,7 @@ class DatasetContract:
 
     @classmethod
     def of(cls, name: str, spec: dict) -> DatasetContract:
-        known = {k: tuple(v) if isinstance(v, list) else v for k, v in spec.items() if k in cls.__dataclass_fields__}
-        return cls(name=name, **known)
+        return cls(**_chosen(spec, cls) | {"name": name})
 
 
 @dataclass(frozen=True)
@@ -101,19 +100,35 @@ class Contract:
         return hashlib.sha256(json.dumps(self.source, sort_keys=True).encode()).hexdigest()
 
 
-def parse(source: dict, profile: tuple[str, ...] | None = ("consumption", "generation", "price")) -> Contract:
-    """A validated contract. ``profile``: the dataset names required; None allows any."""
-    if profile is not None and sorted(source["datasets"]) != sorted(profile):
-        raise ValueError(f"exactly the datasets {', '.join(profile)} are required")
+PROFILE = ("consumption", "generation", "price")
+
+
+def _chosen(spec: dict, kind: type) -> dict:
+    """What of a JSON object belongs to a dataclass, lists as tuples."""
+    return {k: tuple(v) if isinstance(v, list) else v for k, v in spec.items() if k in kind.__dataclass_fields__}
+
+
+def violations(datasets: dict[str, DatasetContract], profile: tuple[str, ...] | None) -> list[str]:
+    """The rules across datasets that these break."""
+    owners: dict[str, list[str]] = {}
+    for name, dataset in datasets.items():
+        for measure in dataset.measures:
+            owners.setdefault(measure, []).append(name)
+    found = [f"measure {m} is mapped more than once: {', '.join(own)}" for m, own in owners.items() if len(own) > 1]
+    found += [f"measure {m!r} must be of small letters, digits and underscores" for m in owners if not re.fullmatch("[a-z][a-z0-9_]*", m)]
+    if profile is not None:
+        found += [f"dataset {name} is {'not known' if name in datasets else 'required'}" for name in sorted({*datasets} ^ {*profile})]
+        if "price" not in owners.get(TARGET, []):
+            found.append(f"{TARGET} must be a measure of the price dataset")
+    return found
+
+
+def parse(source: dict, profile: tuple[str, ...] | None = PROFILE) -> Contract:
+    """A validated contract; all broken rules are told at once. ``profile``: the dataset names required; None allows any."""
     datasets = {name: DatasetContract.of(name, spec) for name, spec in source["datasets"].items()}
-    aliases = [a for d in datasets.values() for a in d.measures]
-    if len(aliases) != len(set(aliases)) or not all(re.fullmatch("[a-z][a-z0-9_]*", a) for a in aliases):
-        raise ValueError("measure names must be unique and of small letters, digits and underscores")
-    if profile is not None and TARGET not in datasets["price"].measures:
-        raise ValueError(f"the price dataset must map a column to {TARGET}")
-    spec = source.get("model", {})
-    known = {k: tuple(v) if isinstance(v, list) else v for k, v in spec.items() if k in ModelContract.__dataclass_fields__}
-    return Contract(datasets, ModelContract(**{"features": FEATURES} | known), source)
+    if found := violations(datasets, profile):
+        raise ValueError("; ".join(found))
+    return Contract(datasets, ModelContract(**{"features": FEATURES} | _chosen(source.get("model", {}), ModelContract)), source)
 
 
 def load(path: str) -> Contract:

@@ -56,3 +56,13 @@ def parse_time(text: Column, pattern: str, zone: str = "Europe/Berlin", fold: Co
         .when(twice & ~F.coalesce(chosen, F.lit(False)), "ambiguous_local_time")
     )
     return F.struct(F.when(error.isNull(), F.unix_seconds(second)).alias("epoch"), error.alias("error"))
+
+
+def negative_text(text: Column) -> Column:
+    """Whether a number with comma groups is below zero; null where it's no number."""
+    return F.regexp_replace(text, ",", "").try_cast("double") < 0
+
+
+def safe_name(text: Column) -> Column:
+    """``contract.safe_header`` of a column: small letters and digits, other runs as one underscore, none at the ends."""
+    return F.btrim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "_"), F.lit("_"))

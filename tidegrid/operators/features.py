@@ -25,9 +25,8 @@ def cyclical(df: DataFrame) -> DataFrame:
 
 def exact_lag(df: DataFrame, value: str, hours: int, alias: str, history: DataFrame | None = None) -> DataFrame:
     """The value exactly ``hours`` earlier, by elapsed time and not by position; null over gaps."""
-    past = df if history is None else history
-    lag = past.select((F.col(KEY) + F.expr(f"INTERVAL {hours} HOURS")).alias(KEY), F.col(value).alias(alias))
-    return df.join(lag, KEY, "left")
+    known = (df if history is None else history).select(F.col(KEY).alias("_then"), F.col(value).alias(alias))
+    return df.join(known, F.col(KEY) == F.col("_then") + F.make_dt_interval(hours=F.lit(hours)), "left").drop("_then")
 
 
 def exact_lags_within(df: DataFrame, value: str, by: str, hours: dict[str, int]) -> DataFrame:
@@ -57,7 +56,7 @@ def verify(saved: DataFrame, joined: DataFrame, value: str = "price_eur_mwh", la
     for h in lags:
         df = exact_lag(df, value, h, f"_again_{h}", joined)
     last = df.agg(F.max(KEY).alias("_last"))
-    df = df.crossJoin(last)
+    df = df.crossJoin(F.broadcast(last))
     checks = [F.count_if(F.col(f"{prefix}_{h}h").isNull()).alias(f"null_lag_{h}h") for h in lags]
     checks += [F.count_if(~F.col(f"{prefix}_{h}h").eqNullSafe(F.col(f"_again_{h}"))).alias(f"mismatch_{h}h") for h in lags]
     off = F.abs(F.pow("hour_sin", F.lit(2)) + F.pow("hour_cos", F.lit(2)) - 1) > 1e-10

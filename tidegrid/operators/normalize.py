@@ -16,34 +16,37 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def fold_of_pairs(wall: Column) -> Column:
+def fold_of_pairs(wall: str) -> Column:
     """0 for the first, 1 for the second of exactly two rows of a file with the same wall time, else null."""
     same = Window.partitionBy("_source_file", wall)
-    first = F.col("_source_row") == F.min("_source_row").over(same)
-    return F.when(F.count(wall).over(same) == 2, F.when(first, 0).otherwise(1))
+    place = F.row_number().over(same.orderBy("_source_row")) - 1
+    return F.when(F.count(wall).over(same) == 2, place)
+
+
+def timed(cells: DataFrame, contract: DatasetContract) -> DataFrame:
+    """``cells`` with _time, read from _wall.
+
+    Only rows whose local time occurs twice, two hours of a year, are paired by their order, so only they are shuffled.
+    """
+    read = lambda fold=None: parse_time(F.col("_wall"), java_pattern(contract.timestamp_format), contract.timezone, fold)
+    if contract.dst_policy != "ordered_pair":
+        return cells.withColumn("_time", read())
+    twice = F.coalesce(read()["error"] == "ambiguous_local_time", F.lit(False))
+    paired = cells.filter(twice).withColumn("_fold", fold_of_pairs("_wall"))
+    return cells.filter(~twice).withColumn("_time", read()).unionByName(paired.withColumn("_time", read(F.col("_fold"))).drop("_fold"))
 
 
 def normalize(raw: DataFrame, contract: DatasetContract) -> DataFrame:
     """timestamp_utc, the measures, _errors and the lineage columns that ``raw`` has."""
-    parts: list[Column] = []
-    for name in contract.timestamp_columns:
-        parts += [F.lit(" ")] * bool(parts) + [quoted(name)]
     lineage = [c for c in LINEAGE if c in raw.columns]
-    sources = [quoted(s).alias(f"_raw_{i}") for i, s in enumerate(contract.numeric_columns)]
-    df = raw.select(F.concat(*parts).alias("_wall"), *sources, *lineage)
-    pattern, fold = java_pattern(contract.timestamp_format), None
-    if contract.dst_policy == "ordered_pair":
-        if not {"_source_file", "_source_row"} <= set(raw.columns):
-            raise ValueError("ordered_pair needs the columns _source_file and _source_row")
-        df, fold = df.withColumn("_fold", fold_of_pairs(F.col("_wall"))), F.col("_fold")
-    numbers = [parse_number(F.col(f"_raw_{i}"), contract.locale).alias(f"_number_{i}") for i in range(len(sources))]
-    df = df.select(parse_time(F.col("_wall"), pattern, contract.timezone, fold).alias("_time"), *numbers, *lineage)
-    errors = [F.col("_time.error")]
-    for i, name in enumerate(contract.measures):
-        errors.append(F.concat(F.lit(f"{name}:"), F.col(f"_number_{i}.error")))
-    return df.select(
-        F.timestamp_seconds("_time.epoch").alias("timestamp_utc"),
-        *[F.col(f"_number_{i}.value").alias(name) for i, name in enumerate(contract.measures)],
-        F.array_compact(F.array(*errors)).alias("_errors"),
-        *lineage,
-    )
+    if contract.dst_policy == "ordered_pair" and not {"_source_file", "_source_row"} <= set(lineage):
+        raise ValueError("ordered_pair needs the columns _source_file and _source_row")
+    wall = quoted(contract.timestamp_columns[0])
+    for name in contract.timestamp_columns[1:]:
+        wall = F.concat(wall, F.lit(" "), quoted(name))
+    # each measure under a name that no other column has
+    cells = raw.select(wall.alias("_wall"), *[parse_number(quoted(header), contract.locale).alias(f"_cell_{m}") for header, m in contract.numeric_columns.items()], *lineage)
+    reasons = [F.concat(F.lit(m + ":"), F.col(f"_cell_{m}.error")) for m in contract.measures]
+    values = [F.col(f"_cell_{m}.value").alias(m) for m in contract.measures]
+    rows = timed(cells, contract)
+    return rows.select(F.timestamp_seconds("_time.epoch").alias("timestamp_utc"), *values, F.array_compact(F.array("_time.error", *reasons)).alias("_errors"), *lineage)

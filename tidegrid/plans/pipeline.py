@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.contract import DatasetContract
 from tidegrid.operators import features, forecast, joins, model, normalize, quality
 from tidegrid.plans.store import RunContext
 from tidegrid.sources import csv
@@ -22,17 +24,28 @@ def ingest(run: RunContext) -> None:
             raw = csv.ordered(run.spark, contract, safe=True)
             raw = raw.select(*[F.col(s).alias(s, metadata={"header": h}) for h, s in renamed.items()], "_source_row", "_source_file", "_ingested_at")
         else:
-            raw = raw.withColumnsRenamed({c: csv.safe_header(c) for c in contract.expected_columns})
+            lineage = [c for c in raw.columns if c not in contract.expected_columns]
+            raw = raw.select(*[normalize.quoted(h).alias(csv.safe_header(h), metadata={"header": h}) for h in contract.expected_columns], *lineage)
         run.save(raw, f"raw_{name}", schema_may_change=True)
     run.write_manifest()
 
 
+def original_headers(raw: DataFrame, contract: DatasetContract) -> DataFrame:
+    """A raw table under the headers that its columns' metadata hold, which must be all of the contract's, once each."""
+    held = {f.name: f.metadata["header"] for f in raw.schema if "header" in f.metadata}
+    if sorted(held.values()) != sorted(contract.expected_columns):
+        raise ValueError(f"{contract.name}: the stored headers aren't those of the contract")
+    if any(safe != csv.safe_header(header) for safe, header in held.items()):
+        raise ValueError(f"{contract.name}: a stored header doesn't belong to its column")
+    return raw.withColumnsRenamed(held)
+
+
 def clean(run: RunContext) -> None:
     """Typed staging tables, an audit that always is kept, then all tables or none."""
     run.verify()
     profiles = {}
     for name, contract in run.contract.datasets.items():
-        raw = run.table(f"raw_{name}").withColumnsRenamed({csv.safe_header(c): c for c in contract.expected_columns})
+        raw = original_headers(run.table(f"raw_{name}"), contract)
         typed = joins.interval_end(normalize.normalize(raw, contract))
         run.save(typed, f"staging_cleaned_{name}", schema_may_change=True)
         staged = run.table(f"staging_cleaned_{name}")
@@ -40,11 +53,8 @@ def clean(run: RunContext) -> None:
         profiles[name] = quality.profile(staged, contract.measures, contract.nonnegative, contract.nullable, "_source_row" in staged.columns)
     rows = [{"dataset": n} | p.first().asDict(recursive=True) for n, p in profiles.items()]
     run.report("cleaned_quality_report", {"datasets": rows})
-    failed = [r["dataset"] for r in rows if not r["passed"]]
-    if failed:
+    if failed := run.promote({r["dataset"]: r["passed"] for r in rows}, "staging_cleaned_", "cleaned_"):
         raise quality.GateFailed(f"quality gate: {', '.join(failed)}")
-    for name in run.contract.datasets:
-        run.save(run.table(f"staging_cleaned_{name}").drop("_pipeline_run_id"), f"cleaned_{name}", schema_may_change=True)
 
 
 def join(run: RunContext) -> None:
@@ -52,7 +62,7 @@ def join(run: RunContext) -> None:
     series = {n: run.table(f"cleaned_{n}").drop("_pipeline_run_id") for n in run.contract.datasets}
     joined = joins.full_outer_audit(series)
     run.save(joins.interval_end(joined), "cleaned_joined")
-    run.report("join_quality_report", joins.unmatched(run.table("cleaned_joined"), list(series)).first().asDict())
+    run.report_row("join_quality_report", joins.unmatched(run.table("cleaned_joined"), list(series)))
 
 
 def prepare(run: RunContext) -> None:

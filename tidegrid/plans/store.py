@@ -23,6 +23,16 @@ def run_ids(df: DataFrame) -> DataFrame:
     return df.agg(F.sort_array(F.collect_set(F.coalesce("_pipeline_run_id", F.lit("")))).alias("run_ids"))
 
 
+def as_report(rows: DataFrame, beside: tuple[str, ...] = ()) -> DataFrame:
+    """Each row as sorted JSON in report_json; the columns of ``beside`` stay outside."""
+    return rows.select(*beside, F.to_json(F.struct(*sorted(c for c in rows.columns if c not in beside)), {"ignoreNullFields": "false"}).alias("report_json"))
+
+
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: rows, and how many different keys they have."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("keys"))
+
+
 @dataclass(frozen=True)
 class RunContext:
     """Tables of one run under ``root``: each a Parquet snapshot that a rerun replaces as a whole."""
@@ -58,6 +68,17 @@ class RunContext:
         row = self.spark.createDataFrame([(json.dumps(content, sort_keys=True, default=str),)], "report_json string")
         self.save(row.withColumn("checked_at", F.current_timestamp()), name)
 
+    def report_row(self, name: str, row: DataFrame) -> None:
+        """The same of a one-row table, without a way over the driver."""
+        self.save(as_report(row).withColumn("checked_at", F.current_timestamp()), name)
+
+    def promote(self, passed: dict[str, bool], staged: str, final: str) -> list[str]:
+        """All staged tables under their final names if every one has passed, else none; the names that failed."""
+        failed = [name for name, ok in passed.items() if not ok]
+        for name in passed if not failed else ():
+            self.save(self.table(f"{staged}{name}").drop("_pipeline_run_id"), f"{final}{name}", schema_may_change=True)
+        return failed
+
     def write_manifest(self) -> None:
         """Written after the raw tables: a run that broke off before leaves no valid one."""
         row = [(self.contract.sha256, json.dumps(self.contract.source, sort_keys=True))]

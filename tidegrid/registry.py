@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid import session
-from tidegrid.contract import FEATURES, DatasetContract, ModelContract
-from tidegrid.functions.parsing import parse_number, parse_time
+from tidegrid.contract import FEATURES, DatasetContract, ModelContract, parse
+from tidegrid.functions.parsing import negative_text, parse_number, parse_time, safe_name
 from tidegrid.operators import features, forecast, joins, metrics, model, normalize, quality, split
 from tidegrid.plans import store
 from tidegrid.sources import csv
@@ -215,8 +216,8 @@ def gated(t, kind: str) -> DataFrame:
 
 def gate_sql(kind: str) -> str:
     s = f"{hourly(kind, 'value')}"
-    return f"""SELECT '{kind}' AS dataset, count(*) AS rows, CAST(0 AS BIGINT) AS duplicate_extra_rows,
-  CAST((epoch(max(timestamp_utc)) - epoch(min(timestamp_utc))) / 3600 + 1 - count(*) AS BIGINT) AS missing_hourly_intervals, CAST(0 AS BIGINT) AS off_hour_rows, count(*) FILTER (WHERE value < 0) AS negative_value,
+    return f"""SELECT '{kind}' AS dataset, count(*) AS rows, count(timestamp_utc) - count(DISTINCT timestamp_utc) AS duplicate_extra_rows,
+  CAST((epoch(max(timestamp_utc)) - epoch(min(timestamp_utc))) / 3600 + 1 - count(*) AS BIGINT) AS missing_hourly_intervals, count(*) FILTER (WHERE CAST(epoch(timestamp_utc) AS BIGINT) % 3600 <> 0) AS off_hour_rows, count(*) FILTER (WHERE value < 0) AS negative_value,
   (epoch(max(timestamp_utc)) - epoch(min(timestamp_utc))) / 3600 + 1 = count(*) AND count(*) FILTER (WHERE value < 0) = 0 AND count(*) FILTER (WHERE value IS NULL) = 0 AS passed FROM {s}"""
 
 
@@ -287,8 +288,10 @@ def exact_lags_by_type(spark, t):
     return out.withColumn(KEY, F.col(KEY).cast("timestamp_ntz"))
 
 
-@query(f"""WITH s AS {hourly('purchase')}, f AS (SELECT s.timestamp_utc AS t, a.price_eur_mwh AS x, b.price_eur_mwh AS y FROM s {LAGS})
-SELECT count(*) FILTER (WHERE x IS NULL) AS null_lag_24h, count(*) FILTER (WHERE y IS NULL) AS null_lag_48h, CAST(0 AS BIGINT) AS mismatch_24h, CAST(0 AS BIGINT) AS mismatch_48h, CAST(0 AS BIGINT) AS off_circle,
+@query(f"""WITH s AS {hourly('purchase')}, f AS (SELECT s.timestamp_utc AS t, a.price_eur_mwh AS x, b.price_eur_mwh AS y, sin(hour(s.timestamp_utc) * 2 * pi() / 24) AS si, cos(hour(s.timestamp_utc) * 2 * pi() / 24) AS co,
+  (SELECT max(z.price_eur_mwh) FROM s z WHERE epoch(z.timestamp_utc) + 86400 = epoch(s.timestamp_utc)) AS x2, (SELECT max(z.price_eur_mwh) FROM s z WHERE epoch(z.timestamp_utc) + 172800 = epoch(s.timestamp_utc)) AS y2 FROM s {LAGS})
+SELECT count(*) FILTER (WHERE x IS NULL) AS null_lag_24h, count(*) FILTER (WHERE y IS NULL) AS null_lag_48h, count(*) FILTER (WHERE x IS DISTINCT FROM x2) AS mismatch_24h, count(*) FILTER (WHERE y IS DISTINCT FROM y2) AS mismatch_48h,
+  count(*) FILTER (WHERE abs(si * si + co * co - 1) > 1e-10) AS off_circle,
   count(*) FILTER (WHERE t > (SELECT max(t) FROM f) - INTERVAL 24 HOUR AND (x IS NULL OR y IS NULL)) AS recent_null_lags FROM f""")
 def lag_verification(spark, t):
     df = series(t, "purchase")
@@ -350,7 +353,7 @@ def latest_rows(spark, t):
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(trunc(c_acctbal) AS BIGINT) < 0 END AS negative FROM customer""")
 def negative_diagnostic(spark, t):
     text = F.when(F.pmod("c_custkey", F.lit(17)) == 0, "n/a").otherwise(F.format_number(F.col("c_acctbal").cast("bigint"), 0))
-    return t("customer").select("c_custkey", quality.negative_text(text).alias("negative"))
+    return t("customer").select("c_custkey", negative_text(text).alias("negative"))
 
 
 @query("""SELECT count(DISTINCT run) = 1 AND bool_and(run = 'r1') AS current, list_sort(list_distinct(list(coalesce(run, ''))))::VARCHAR[] AS run_ids
@@ -364,7 +367,7 @@ def run_guard(spark, t):
 @query("SELECT DISTINCT p_name, trim(regexp_replace(lower(p_name || ' [' || p_brand || ']'), '[^a-z0-9]+', '_', 'g'), '_') AS safe FROM part")
 def safe_headers(spark, t):
     name = F.concat("p_name", F.lit(" ["), "p_brand", F.lit("]"))
-    return t("part").select("p_name", F.btrim(F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_"), F.lit("_")).alias("safe")).distinct()
+    return t("part").select("p_name", safe_name(name).alias("safe")).distinct()
 
 
 @query("SELECT doc_id, sha256(text) AS sha256 FROM documents")
@@ -375,12 +378,12 @@ def row_checksums(spark, t):
 @query("""SELECT event_type, count(*) AS n, '{"negatives":' || count(*) FILTER (WHERE value < 0) || ',"rows":' || count(*) || '}' AS report_json FROM events GROUP BY 1""")
 def report_json(spark, t):
     out = t("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") < 0).alias("bad"))
-    return out.select("event_type", "n", F.to_json(F.struct(F.col("bad").alias("negatives"), F.col("n").alias("rows"))).alias("report_json"))
+    return store.as_report(out.select("event_type", "n", F.col("bad").alias("negatives"), F.col("n").alias("rows")), ("event_type", "n"))
 
 
 @query("""WITH a AS (SELECT l_orderkey, l_linenumber FROM lineitem) SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM a)) AS keys FROM a""")
 def lineage_keys(spark, t):
-    return t("lineitem").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("l_orderkey", "l_linenumber").alias("keys"))
+    return store.key_counts(t("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query("""SELECT event_type, o_orderpriority, n FROM (SELECT event_type, NULL AS o_orderpriority, count(*) AS n FROM events GROUP BY 1)
@@ -390,11 +393,16 @@ def union_by_name(spark, t):
     return a.unionByName(t("orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")), allowMissingColumns=True).select("event_type", "o_orderpriority", "n")
 
 
-# --- without SQL: models and files
+# --- models and files
+
+
+def scratch(spark, name: str) -> str:
+    """A folder of its own for each run of a query, in the shared one."""
+    return f"{session.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def modelled(spark, t) -> tuple[dict, DataFrame, str]:
-    path = f"{session.shared_dir(spark)}/gbt"
+    path = scratch(spark, "gbt")
     contract = ModelContract(features=FEATURES, candidates=({"n_estimators": 10, "max_depth": 2}, {"n_estimators": 20, "max_depth": 3}))
     report, output = model.evaluate(features.prepare(series(t, None)), contract, path)
     return report, output, path
@@ -413,11 +421,74 @@ def gbt_predictions(spark, t):
     return output.withColumn(KEY, F.col(KEY).cast("timestamp_ntz"))
 
 
-@query()
+def csv_files(spark, t) -> str:
+    """The orders of each priority as a CSV file in order of keys."""
+    out = scratch(spark, "csv")
+    rows = t("orders").select("o_orderkey", F.date_format("o_orderdate", PATTERN).alias("Start date"), F.format_number("o_totalprice", 2).alias("Price"), "o_orderpriority")
+    rows = rows.repartition("o_orderpriority").sortWithinPartitions("o_orderpriority", "o_orderkey").drop("o_orderkey")
+    rows.write.partitionBy("o_orderpriority").option("header", True).option("sep", ";").csv(out)
+    return out + "/*/*.csv"
+
+
+def file_of():
+    return F.regexp_extract(F.regexp_replace("_source_file", "%20", " "), "o_orderpriority=([^/]+)", 1).alias("file")
+
+
+ORDER_TEXT = """strftime(o_orderdate, '%b %-d, %Y %-I:%M %p') AS "Start date", format('{:,.2f}', o_totalprice) AS "Price", o_orderpriority AS file"""
+
+
+@query(f"SELECT {ORDER_TEXT}, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) + 1 AS _source_row FROM orders")
 def ordered_csv_scan(spark, t):
     """The orders of each priority as a CSV file in the shared folder, read back in order."""
-    out = session.shared_dir(spark) + "/ordered_csv"
-    rows = t("orders").select(F.date_format("o_orderdate", PATTERN).alias("Start date"), F.format_number("o_totalprice", 2).alias("Price"), "o_orderpriority")
-    rows.coalesce(1).write.mode("overwrite").partitionBy("o_orderpriority").option("header", True).option("sep", ";").csv(out)
-    contract = price_contract(path=out + "/*/*.csv")
-    return csv.read(spark, contract).select("Start date", "Price", "_source_row", F.regexp_extract("_source_file", "o_orderpriority=([^/]+)", 1).alias("file"))
+    out = csv.read(spark, price_contract(path=csv_files(spark, t)))
+    return out.select("Start date", "Price", "_source_row", file_of())
+
+
+@query(f"SELECT {ORDER_TEXT} FROM orders")
+def strict_csv_scan(spark, t):
+    """The same files by the strict scan."""
+    out = csv.read(spark, price_contract(path=csv_files(spark, t), dst_policy="strict"))
+    return out.select("Start date", "Price", file_of())
+
+
+@query("""SELECT o_orderpriority AS file, count(*) AS rows, CAST(2 AS INTEGER) AS columns, CAST(0 AS BIGINT) + count(*) FILTER (WHERE o_totalprice < 0) AS negative,
+  CAST(17 + sum(strlen(strftime(o_orderdate, '%b %-d, %Y %-I:%M %p') || format('{:,.2f}', o_totalprice)) + 2) AS BIGINT) AS bytes FROM orders GROUP BY 1""")
+def setup_report(spark, t):
+    """Rows, columns, bytes and negative values of each file."""
+    out = csv.setup_report(spark, price_contract(path=csv_files(spark, t)), "Price")
+    return out.withColumnRenamed("path", "_source_file").select(file_of(), "rows", "columns", "negative", "bytes")
+
+
+def a_run(spark, run_id: str) -> store.RunContext:
+    source = {"datasets": {k: {"expected_columns": ["t", k], "timestamp_columns": ["t"], "timestamp_format": "%Y", "numeric_columns": {k: k}} for k in KINDS}}
+    return store.RunContext(spark, scratch(spark, "run"), run_id, parse(source, profile=None))
+
+
+@query("""SELECT DISTINCT o_orderstatus AS run_id, o_orderstatus = (SELECT min(o_orderstatus) FROM orders) AS accepted FROM orders""")
+def manifest_guard(spark, t):
+    """Of runs named by order statuses the first writes the manifest; only it is let through."""
+    ids = [r[0] for r in t("orders").select("o_orderstatus").distinct().orderBy("o_orderstatus").collect()]
+    first, rows = a_run(spark, ids[0]), []
+    first.write_manifest()
+    for run_id in ids:
+        try:
+            store.RunContext(spark, first.root, run_id, first.contract).verify()
+            rows.append((run_id, True))
+        except store.StaleRun:
+            rows.append((run_id, False))
+    return spark.createDataFrame(rows, "run_id string, accepted boolean")
+
+
+PASSED = " UNION ALL ".join(f"SELECT '{k}' AS dataset, passed FROM ({gate_sql(k)})" for k in KINDS)
+
+
+@query(f"WITH p AS ({PASSED}) SELECT dataset, passed, CASE WHEN (SELECT bool_and(passed) FROM p) THEN (SELECT count(*) FROM p) ELSE 0 END AS promoted FROM p")
+def promotion(spark, t):
+    """Series by kind of event: staged, gated, and promoted together or not at all."""
+    run, passed = a_run(spark, "r1"), {}
+    for kind in KINDS:
+        run.save(series(t, kind, "value").withColumn("_errors", F.expr("CAST(array() AS array<string>)")), f"staging_{kind}")
+        passed[kind] = quality.profile(run.table(f"staging_{kind}"), ["value"], ["value"]).first()["passed"]
+    run.promote(passed, "staging_", "final_")
+    promoted = sum(run.exists(f"final_{kind}") for kind in KINDS)
+    return spark.createDataFrame([(k, ok, promoted) for k, ok in passed.items()], "dataset string, passed boolean, promoted long")

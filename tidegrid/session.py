@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -27,10 +28,12 @@ def build(app: str = "tidegrid", master: str | None = None, **conf: str) -> Spar
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one where it is unset (tests)."""
+    """The shared folder of ``spark.checkpoint.dir``; where it is unset, a local one, for a local master only."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if path:
         return path.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     path = getattr(spark.sparkContext, "_tidegrid_dir", None)
     if path is None:
         path = "file://" + tempfile.mkdtemp(prefix="tidegrid-")

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidegrid import session
 from tidegrid.contract import DatasetContract, safe_header
+from tidegrid.functions.parsing import negative_text
 
 
 class SchemaDrift(ValueError):
@@ -25,13 +26,16 @@ def read(spark: SparkSession, contract: DatasetContract, safe: bool = False) ->
 
 
 def strict(spark: SparkSession, contract: DatasetContract) -> DataFrame:
-    """Spark's own CSV scan, which splits large files; malformed records fail when all columns are read."""
+    """Spark's own CSV scan, which splits large files; a record of more or fewer fields fails whatever columns are read."""
     reader = spark.read.option("header", True).option("sep", contract.delimiter).option("encoding", "UTF-8").option("enforceSchema", False).option("mode", "FAILFAST")
     seen = reader.csv(contract.path)
     if tuple(seen.columns) != contract.expected_columns:
         raise SchemaDrift(f"Schema drift: expected {contract.expected_columns!r}; observed {tuple(seen.columns)!r}")
-    columns = [F.col(f"`{c.replace('`', '``')}`") for c in seen.columns]
-    return seen.select(*columns, F.col("_metadata.file_path").alias("_source_file"), F.current_timestamp().alias("_ingested_at"))
+    # without column pruning the parser reads every record to its end, also for queries of few columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in seen.columns])
+    whole = spark.read.option("columnPruning", False).option("enforceSchema", False).option("header", True).option("sep", contract.delimiter).option("encoding", "UTF-8").option("mode", "FAILFAST").schema(schema).csv(contract.path)
+    columns = [F.col(f"`{c.replace('`', '``')}`") for c in whole.columns]
+    return whole.select(*columns, F.col("_metadata.file_path").alias("_source_file"), F.current_timestamp().alias("_ingested_at"))
 
 
 def ordered(spark: SparkSession, contract: DatasetContract, safe: bool = False, batch: int = 10_000) -> DataFrame:
@@ -58,7 +62,7 @@ def ordered(spark: SparkSession, contract: DatasetContract, safe: bool = False,
                 first = 2
                 for record in records:
                     if len(record) != len(headers):
-                        raise ValueError(f"Malformed record at source row {first + len(rows)} of {path}")
+                        raise ValueError(f"record {first + len(rows)} of {path} has {len(record)} fields, not {len(headers)}")
                     rows.append(record)
                     if len(rows) == batch:
                         yield packed(rows, first, path)
@@ -76,6 +80,17 @@ def ordered(spark: SparkSession, contract: DatasetContract, safe: bool = False,
     return files.select("path", "content").mapInArrow(decode, schema).withColumn("_ingested_at", F.current_timestamp())
 
 
+def setup_report(spark: SparkSession, contract: DatasetContract, measure: str) -> DataFrame:
+    """One row for each file: path, bytes, sha256, rows, columns, and how many values of the column ``measure`` are below zero."""
+    rows = strict(spark, contract)
+    negative = negative_text(F.col(f"`{measure.replace('`', '``')}`"))
+    counts = rows.groupBy(F.col("_source_file").alias("_file")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(negative).alias("negative"))
+    files = checksums(spark, contract.path)
+    same = lambda c: F.regexp_replace(F.url_decode(F.regexp_replace(c, r"\+", "%2B")), "^file:/+", "file:/")
+    found = files.join(counts, same("path") == same("_file"), "left").drop("_file")
+    return found.select("path", "bytes", "sha256", F.coalesce("rows", F.lit(0)).alias("rows"), F.lit(len(contract.expected_columns)).alias("columns"), F.coalesce("negative", F.lit(0)).alias("negative"))
+
+
 def checksums(spark: SparkSession, path: str) -> DataFrame:
     """path, bytes and sha256 of each file."""
     return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
