@@ -27,7 +27,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similarity 0.8 or more, in shingles of five words, the document of the smallest doc_id."""
+    """Of each group of similarity 0.8 or more, in shingles of five words, the document of the smallest doc_id.
+
+    These are the values that hold for stages; only the query op6 is bound to three words and 0.85.
+    """
     return minhash.one_of_each(docs)
 
 
@@ -57,8 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the whole of ``documents``, each result but the last written to the shared folder."""
+    """All stages on the whole of ``documents``, each result but the last written to the shared folder.
+
+    The table that the last stage reads stays there as long as the result is wanted.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = session.written(stage(spark, docs, sf_dir), name)
+        kept = session.written(stage(spark, docs, sf_dir), name)
+        session.discard(docs)  # of the stage before, once nothing reads it any more
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
