@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Values of a label that are broadcast at most, with a number each.
+BROADCAST = 100_000
+
+
 def fold(folds: int) -> Column:
     """crc32 of doc_id as text, modulo ``folds``."""
     return F.crc32(F.col("doc_id").cast("string")) % folds
@@ -30,6 +34,8 @@ def balanced(rows: DataFrame, label: str, most: int, seed: int = 7) -> tuple[Dat
     kind = rows.schema[label].dataType.simpleString()
     shares = rows.sparkSession.createDataFrame(limits, f"_value {kind}, _limit long")
     spread = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30))
+    if len(limits) <= BROADCAST:
+        shares = F.broadcast(shares)
     return rows.join(shares, F.col(label) == F.col("_value")).filter(spread < F.col("_limit")).drop("_value", "_limit"), counts
 
 
