@@ -10,7 +10,7 @@ however long the text or a word of it is.
 Decoding. Ids become bytes, bytes become text by a state machine that keeps an unfinished character
 between pieces; bytes that are no UTF-8 become U+FFFD.
 
-Words recur, so what the transducer emits for words of up to 64 bytes is kept, within a bounded number of bytes, for each worker.
+Words recur, so what the transducer emits for words of up to 64 bytes is kept, within a bounded number of bytes, until a task ends.
 
 Defined results: null and empty texts have no tokens, and their decoded text is empty. A special string in a
 text is its one id. Every row gives one row, repeated rows too; other columns are ignored by ``digests``
@@ -149,11 +149,14 @@ def _digester(source) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                 [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(plain, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        coder.kept.forget()
 
     return run
 
 
-def _encoder(source) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _encoder(source, both: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds token_ids and, with ``both``, the text that they decode to."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = transducer(source.value)
         for batch in batches:
@@ -162,21 +165,27 @@ def _encoder(source) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
                 packed = [b"".join(coder.encode(vocabulary.chunks_of(x))) for x in part.column("text")]
                 cuts = np.cumsum([0, *(len(x) // 4 for x in packed)], dtype=np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "token_ids"])
+                out = pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "token_ids"])
+                yield _with_decoded(out, coder.vocab) if both else out
+        coder.kept.forget()
 
     return run
 
 
+def _with_decoded(batch: pa.RecordBatch, vocab: vocabulary.Vocabulary) -> pa.RecordBatch:
+    texts = []
+    for ids in batch.column("token_ids"):
+        own, decoder = np.asarray(ids.values if ids.is_valid else [], np.uint32), Decoder(vocab)
+        pieces = [decoder.feed(_packed(own[at : at + PIECE])) for at in range(0, len(own), PIECE)]
+        texts.append("".join([*pieces, decoder.feed(b"", True)]))
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+
+
 def _decoder(source) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary.load(source.value)
         for batch in batches:
-            texts = []
-            for ids in batch.column("token_ids"):
-                own, decoder = np.asarray(ids.values if ids.is_valid else [], np.uint32), Decoder(vocab)
-                pieces = [decoder.feed(_packed(own[at : at + PIECE])) for at in range(0, len(own), PIECE)]
-                texts.append("".join([*pieces, decoder.feed(b"", True)]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            yield _with_decoded(batch, vocab)
 
     return run
 
@@ -197,7 +206,14 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with the ids of its column text as token_ids; a column of that name is replaced."""
     docs = docs.drop("token_ids")
     schema = f"{docs._jdf.schema().toDDL()}, token_ids array<int>"
-    return docs.mapInArrow(_encoder(_source(docs, path)), schema)
+    return docs.mapInArrow(_encoder(_source(docs, path), False), schema)
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` with token_ids and the text that these decode to as decoded, by one worker; columns of these names are replaced."""
+    docs = docs.drop("token_ids", "decoded")
+    schema = f"{docs._jdf.schema().toDDL()}, token_ids array<int>, decoded string"
+    return docs.mapInArrow(_encoder(_source(docs, path), True), schema)
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:

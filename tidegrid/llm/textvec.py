@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 U64 = np.uint64
 
 WHITE = np.zeros(256, bool)

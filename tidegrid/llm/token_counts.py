@@ -4,7 +4,7 @@ The symbols of a word form a linked list; a heap holds the adjacent pairs that c
 lowest rank, leftmost first, is popped and merged as long as there is one. A word has as many tokens as it had
 symbols, less its merges. A text is read in pieces; of a word longer than a window, the symbols that nothing that
 follows can change any more are counted and leave it, so memory is bounded for any text. Counts of words of up to
-64 bytes are kept, within a bounded number of bytes, for each worker.
+64 bytes are kept, within a bounded number of bytes, until a task ends.
 
 Defined results: null and empty texts have no bytes and no tokens, and so has white space where the vocabulary
 drops it. A special string inside a text counts as one token. Every row gives one row, repeated rows too; other
@@ -106,6 +106,7 @@ def _counter(source) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pc.binary_length(texts).cast(pa.int64()), tokens], names=["doc_id", "n_bytes", "n_tokens"]
             )
+        counts.kept.forget()
 
     return run
 

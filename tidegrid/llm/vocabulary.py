@@ -296,7 +296,7 @@ class Window:
 class Kept(dict):
     """What words result in, worked out when first asked for; words of up to 64 bytes are kept, within ``most`` bytes of memory."""
 
-    def __init__(self, work: Callable, most: int = 1 << 27):
+    def __init__(self, work: Callable, most: int = 1 << 26):
         super().__init__()
         self.work, self.most, self.used = work, most, 0
 
@@ -307,11 +307,15 @@ class Kept(dict):
             # an entry takes the word, the result and about 200 bytes
             self.used += 200 + 5 * len(raw)
             if self.used > self.most:
-                self.clear()
-                self.used = 0
+                self.forget()
             self[word] = out
         return out
 
+    def forget(self) -> None:
+        """Also at the end of a task, since a worker may wait long for its next."""
+        self.clear()
+        self.used = 0
+
 
 def _boundary(text: str) -> int:
     """The last place of a text before which normalisation doesn't depend on what follows."""
