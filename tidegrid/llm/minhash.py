@@ -264,13 +264,13 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
         stars = estimated(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         links = links.unionByName(confirmed(crossed.unionByName(stars).distinct()))
         labels = components(links)
-        x, y = grouped()
+        x, y = (side.join(sketches.select("rep", *sketch, "n_shingles"), "rep").alias(name) for name, side in zip("xy", grouped()))
         # the shingles that both must share, times 2 * (100 + percent), and those that are left from here on
         needed = f"({100 + percent} * (x.differ + y.differ) - {100 - percent} * (x.n + y.n))"
         left = f"{2 * (100 + percent)} * least(x.differ - x.at, y.differ - y.at)"
-        far = x.join(y, F.expr(f"x.center = y.center AND x.token = y.token AND x.component <> y.component AND {left} >= {needed}"))
+        far = x.join(y, F.expr(f"x.center = y.center AND x.token = y.token AND x.component <> y.component AND {left} >= {needed} AND {close('x', 'y')}"))
         far = far.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-        links = links.unionByName(confirmed(estimated(far)))
+        links = links.unionByName(confirmed(far))
         labels = components(links)
         session.discard(tokens)
     for table in (first, members, sketches, tried, mixed, labelled, around):
