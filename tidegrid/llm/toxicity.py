@@ -109,12 +109,15 @@ def fit(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, pairs: list,
     if len(y) == 0 or len(np.unique(y)) < 2:
         p = float(np.average(y, weights=weight)) if len(y) else 0.0
         return {"at": np.zeros(0, np.int64), "w": np.zeros(0), "bias": float(np.log((p + 1e-6) / (1 - p + 1e-6)))}
-    used, flat = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_inverse=True)
-    doc = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+    flat = np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32)
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in rows])
+    df = np.bincount(flat, minlength=1 << BITS)
+    used = np.flatnonzero(df)
+    at_of = np.zeros(1 << BITS, np.int32)
+    at_of[used] = np.arange(len(used))
     # features of a single document say nothing of others
-    df = np.bincount(flat, minlength=len(used))
     keep = df[flat] >= 3
-    flat, doc = flat[keep], doc[keep]
+    flat, doc = at_of[flat[keep]], doc[keep]
     d, n = len(used), len(rows)
     weight = weight / weight.sum()
     # swaps with their shares, as sparse rows of -1 and +1
@@ -207,7 +210,7 @@ def model_of(docs: DataFrame, labels: DataFrame, held_out: bool, most: int = 400
     found = both.filter("features IS NOT NULL").select("doc_id", "toxic", "features").orderBy("doc_id", "toxic", "features").toArrow()
     swapped = both.filter("features IS NULL").groupBy("gone", "new").count().orderBy("gone", "new").toArrow()
     session.discard(both)
-    unpacked = lambda column: [np.frombuffer(x.as_py(), "<i4").astype(np.int64) for x in column]
+    unpacked = lambda column: [np.frombuffer(x.as_py(), "<i4") for x in column]
     y = np.array(found.column("toxic").to_pylist(), float)
     pairs = list(zip(unpacked(swapped.column("gone")), unpacked(swapped.column("new")), swapped.column("count").to_pylist()))
     taken = {k: max(1, int((y == k).sum())) for k in counts}
