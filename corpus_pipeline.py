@@ -41,9 +41,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as token ids, with the text that these decode to."""
-    path = public_tokenizers.path(TOKENIZER)
-    ids = bpe_codec.encoded(docs, path).withColumn("n_tokens", F.size("token_ids").cast("long"))
-    out = bpe_codec.decoded(ids, path)
+    out = bpe_codec.round_trip(docs, public_tokenizers.path(TOKENIZER)).withColumn("n_tokens", F.size("token_ids").cast("long"))
     return out.withColumn("round_trip", F.col("decoded") == F.coalesce("text", F.lit(""))).drop("text")
 
 
