@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -283,6 +284,32 @@ def test_line_family_takes_rows_in_proportion(spark):
     assert len(links) > 50 * len(lines) and len(found) <= 4 * len(lines)
 
 
+@pytest.mark.parametrize(("small", "levels"), [(1024, 2), (2, 3), (3, 2), (4, 1)])
+def test_line_links_are_all_counted(spark, monkeypatch, small, levels):
+    """Each line has as many links as brute force finds between different lines, those within a class included."""
+    rng = random.Random(31 + levels)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(60))
+    lines = [edited(rng, long, "abcdefghé", rng.choice([1, 1, 2, 3])) for _ in range(90)]
+    lines += ["ab" * 12 + "ab"[: n % 3] + "c" * (n % 5) for n in range(30)] + ["a" * n for n in range(1, 14)]
+    lines += ["".join(rng.choice("abé") for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    docs = [(i, "\n".join(lines[i * 7 : i * 7 + 7])) for i in range(-(-len(lines) // 7))]
+    links_of = line_dedup.links_of
+    monkeypatch.setattr(line_dedup, "links_of", lambda classes, edits: links_of(classes, edits, small, levels))
+    rows = line_dedup.related(spark.createDataFrame(docs, SCHEMA)).collect()
+    _, links = same_as_brute_force(rows, docs)
+    true = Counter(p for pair in links for p in pair)
+    assert len(links) > 1000
+    assert all(r["n_links"] == true[r["to_doc"], r["to_line"]] for r in rows if r["relation"] == "member")
+
+
+def test_lines_of_separators_are_lines(spark):
+    """Only ASCII white space is blank: a line of U+2028, U+2029 or U+0085 alone, or after blanks, is a line like others."""
+    docs = [(0, "\u2028\n \u2029\n\t\u0085\n \r\n\n")]
+    rows = line_dedup.related(spark.createDataFrame(docs, SCHEMA)).collect()
+    same_as_brute_force(rows, docs)
+    assert sorted(r["line_no"] for r in rows if r["relation"] == "member") == [0, 1, 2]
+
+
 def test_lines_cleaned(spark, odd, empty):
     rows = [(1, "a line of some length\n\nshort\nshort", 1), (2, "a line of sume length\nshort\nnew line that stays", 2), (3, None, 3)]
     got = {r["doc_id"]: r["text"] for r in line_dedup.cleaned(spark.createDataFrame(rows, SCHEMA + ", _drop int")).collect()}

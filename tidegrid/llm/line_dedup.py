@@ -6,17 +6,17 @@ segments: of these, one occurs unchanged in the other, near its place. So
 1. equal lines form a class, represented by the occurrence of smallest (doc_id, line_no);
 2. each representative is indexed by its length and its segments, and probes the indexes of its own and of
    slightly smaller lengths with those of its substrings whose place fits (multi-match-aware selection);
-3. pairs that share a key pass a signature test that loses none: the parity of hashed letter pairs differs
-   in at most 4 * edits bits of 64, and of 256 for lines that are compared later;
-4. the others are verified by banded bit-parallel edit distance.
-
-A family of n near-equal lines has n * (n - 1) / 2 links, so pairs are not all listed. First, every line that probes a
-key is compared with the smallest line that the key indexes; lines that links connect form a component. Where a key still holds several
-components, its lines are compared across components: in a key of up to ``small`` lines at once, in
-a larger one after a further step: lines that share a segment are linked only if what is left of them without it is
-within the same number of edits, so what is left is cut into segments again, and so on up to
-``levels`` times. Every pair of lines that share a key is thus compared, known to be connected or known to be no link.
-The result has the component of each line and links that connect it: a number of rows in proportion to the lines.
+3. within a key, pairs pass a signature test that loses none: the parity of hashed letter pairs differs
+   in at most 4 * edits bits, of 64 where one line alone is indexed, and of 256 then;
+4. the others are verified by banded bit-parallel edit distance, each pair in the first key that it shares.
+
+Every link between different lines is found and counted. A family of n near-equal lines has up to n * (n - 1) / 2 of
+them, so they are not listed: a key is compared as a whole in one task, which returns for each of its lines the number of links
+and of the links a spanning forest. Thus rows are in proportion to the lines, while time follows the number of links. A key of more than
+``small`` lines, several of them indexed, takes a further step: lines that share a segment where an alignment keeps it are linked only
+if what is left of them without it is within the same number of edits, so what is left is cut into segments again, and so on up to
+``levels`` times; after the last, such keys are compared in parts of about ``small`` lines with all that is indexed.
+The result has the component and the number of links of each line, and links that connect the components.
 
 Defined results: lines are cut at line feeds; null and empty texts have no lines, blank lines (ASCII white space only)
 are left out. Lines of all lengths are linked: where a line has fewer than edits + 1 characters its first
@@ -29,6 +29,8 @@ a doc_id count as occurrences of equal place. Null doc_ids come last in the orde
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +41,11 @@ from tidegrid import session
 from tidegrid.llm import textvec
 from tidegrid.llm.components import components
 
-#: Bits of a mark.
-SAME, OWN = 1, 2
+#: Bit of a mark.
+OWN = 1
 #: Longs of the wider signature.
 WIDE = 4
-BLANK = r"^[\x20\x09-\x0D]*$"
+BLANK = r"^[\x20\x09-\x0D]*\z"
 
 
 def segments(length: int, edits: int) -> list[tuple[int, int]]:
@@ -128,11 +130,11 @@ def _small(a: str, b: str, most: int) -> int | None:
 STEP, BACK = np.uint64(0xD1342543DE82EF95), np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
 
 
-def _keys(edits: int, index: bool, carry: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _keys(edits: int, index: bool, carry: tuple[str, ...] = ()) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Keys of lines (base, lid, print, line): of their segments (``index``) or of all that they look up.
 
-    ``mark`` of what a line looks up: its place in ``lookups``, whether the line is indexed by it too and whether it
-    is a key of lines as long as this, as bits from the third on, second and first. The line itself is returned with ``carry``.
+    ``mark`` of what a line looks up: its place in ``lookups`` and whether the line is indexed by it too, as bits from the second on and first.
+    The columns of ``carry`` are returned too.
     Substrings are hashed by differences of running sums; texts whose hashes clash are told apart when pairs are verified.
     """
     sought = [(0, i, 0) for i in range(edits + 1)] if index else lookups(edits)
@@ -168,9 +170,8 @@ def _keys(edits: int, index: bool, carry: bool) -> Callable[[Iterator[pa.RecordB
                     take = pa.array(rows + first)
                     columns = {"key": pa.array(key.view(np.int64)), "lid": batch.column("lid").take(take), "print": batch.column("print").take(take)}
                     if not index:
-                        columns["mark"] = pa.array(np.full(len(rows), k << 2 | (more == 0 and shift == 0) << 1 | (more == 0), np.int32))
-                    if carry:
-                        columns["line"] = batch.column("line").take(take)
+                        columns["mark"] = pa.array(np.full(len(rows), k << 1 | (more == 0 and shift == 0), np.int32))
+                    columns |= {c: batch.column(c).take(take) for c in carry}
                     yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -185,11 +186,10 @@ def _left(edits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             out = []
             for mark, line in zip(batch.column("mark").to_pylist(), batch.column("line")):
                 line = line.as_py()
-                more, i, shift = sought[mark >> 2]
+                more, i, shift = sought[mark >> 1]
                 at, size = segments(len(line) - more, edits)[i]
                 out.append(line[: at + shift] + line[at + shift + size :])
-            own = pa.array([bool(x & OWN) for x in batch.column("mark").to_pylist()], pa.bool_())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("base", "lid", "print")), pa.array(out, pa.string()), own], names=["base", "lid", "print", "line", "own"])
+            yield batch.drop_columns(["mark", "line"]).append_column("line", pa.array(out, pa.string()))
 
     return run
 
@@ -217,12 +217,72 @@ def _prints(longs: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
-def _verifier(edits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def first_key(x: str, y: str, edits: int, large: frozenset[int] | set[int] = frozenset(), path: int = 0) -> int | None:
+    """The path of the first key in which ``x`` is indexed, ``y`` (no shorter) looks it up and both are compared.
+
+    The path of a key is that of the key before it, times edits + 2, plus its segment plus 1. Lines that meet in a ``large`` key are
+    compared in those of what is left of them, and there only if they share no other.
+    """
+    shared, more = [], len(y) - len(x)
+    for i, (start, size) in enumerate(segments(len(x), edits)):
+        own, further = x[start : start + size], path * (edits + 2) + i + 1
+        low, high = max(-i, more - (edits - i), -start), min(i, more + edits - i, len(y) - size - start)
+        places = [start + shift for shift in range(low, high + 1) if y[start + shift : start + shift + size] == own]
+        if places and further not in large:
+            return further
+        shared.append((start, size, further, places))
+    for start, size, further, places in shared:
+        for at in places:
+            found = first_key(x[:start] + x[start + size :], y[:at] + y[at + size :], edits, large, further)
+            if found is not None:
+                return found
+    return None
+
+
+#: Columns of what ``_linker`` reads, sorted by the first two.
+MET = ["key", "part", "path", "lid", "line", "own", "probing", "large", "print", *(f"print{i}" for i in range(1, WIDE))]
+LINKED = "a long, b long, distance int, n long"
+
+
+def _linker(edits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of the lines of each key, the number of links (a, n) and links (a, b, distance) that connect those that links connect."""
+
+    def linked(rows: list[tuple]) -> list[tuple]:
+        x, y = list({r[3]: r for r in rows if r[5]}.values()), list({r[3]: r for r in rows if r[6]}.values())
+        out, counts, root = [], dict.fromkeys((r[3] for r in rows), 0), {}
+
+        def find(a: int) -> int:
+            while (up := root.get(a, a)) != a:
+                root[a] = a = root.get(up, up)
+            return a
+
+        if not x or not y:
+            return out
+        signs = np.array([r[8:] for r in y], np.int64).view(np.uint64)
+        step = max(1, (1 << 18) // len(y))
+        for at in range(0, len(x), step):
+            own = np.array([r[8:] for r in x[at : at + step]], np.int64).view(np.uint64)
+            differ = np.bitwise_count(own[:, None, :] ^ signs[None, :, :]).sum(axis=2, dtype=np.int32)
+            for i, j in zip(*(k.tolist() for k in np.nonzero(differ <= 4 * edits))):
+                (_, _, path, a, p, _, _, large, *_), (_, _, _, b, q, *_) = x[at + i], y[j]
+                if a == b or len(p) == len(q) and a > b or first_key(p, q, edits, set(large or ())) != path:
+                    continue
+                if (distance := within(p, q, edits)) is None:
+                    continue
+                counts[a] += 1
+                counts[b] += 1
+                low, high = sorted((find(a), find(b)))
+                if low != high:
+                    root[high] = low
+                    out.append((min(a, b), max(a, b), distance, None))
+        return out + [(a, None, None, n) for a, n in counts.items() if n]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = pa.array([within(x.as_py(), y.as_py(), edits) for x, y in zip(batch.column("x"), batch.column("y"))], pa.int32())
-            out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), found], names=["a", "b", "distance"])
-            yield out.filter(found.is_valid())
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.int32()), ("n", pa.int64())])
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in MET)))
+        for _, met in groupby(rows, itemgetter(0, 1)):
+            if found := linked(list(met)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), schema.types)], schema=schema)
 
     return run
 
@@ -250,66 +310,61 @@ def classes_of(docs: DataFrame) -> DataFrame:
     return session.written(found.mapInArrow(_prints(1), "lid long, doc_id long, line_no int, line string, n long, print long"), "lines")
 
 
-def links_of(classes: DataFrame, edits: int = 2, small: int = 1024, levels: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b, distance) between the ids of different lines that connect all lines within ``edits``, and (node, component) of these."""
-    lines = classes.select(F.lit(0).cast("long").alias("base"), "lid", "print", "line", F.lit(True).alias("own"))
-    kept = []
-
-    def near(*both: tuple[str, str]) -> str:
-        return " + ".join(f"bit_count({x} ^ {y})" for x, y in both) + f" <= {4 * edits}"
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = session.written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        ends = pairs.select(F.col("a").alias("lid")).distinct().unionByName(pairs.select(F.col("b").alias("lid")).distinct()).distinct()
-        some = session.written(classes.select("lid", "line").join(ends, "lid", "left_semi"), "ends")
-        texts = pairs.join(some.select(F.col("lid").alias("a"), F.col("line").alias("x")), "a").join(some.select(F.col("lid").alias("b"), F.col("line").alias("y")), "b")
-        out = session.written(texts.select("a", "b", "x", "y").mapInArrow(_verifier(edits), "a long, b long, distance int"), "links")
-        session.discard(some)
-        session.discard(pairs)
-        return out
-
-    def joined(found: list[DataFrame]) -> DataFrame:
-        out = found[0]
-        for x in found[1:]:
-            out = out.unionByName(x)
-        return out
+def links_of(classes: DataFrame, edits: int = 2, small: int = 1024, levels: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (a, b, distance) between the ids of different lines that connect all lines within ``edits``, (node, component) of these and (lid, n_links): all links of each."""
+    lines = classes.select(F.lit(0).cast("long").alias("base"), "lid", "print", "line")
+    segment = f"element_at(array({', '.join(str(i + 1) for _, i, _ in lookups(edits))}), shiftright(mark, 1) + 1)"
+    columns = ["print", *(f"print{i}" for i in range(1, WIDE))]
+    large, found = None, []
 
     for level in range(levels):
-        index = lines.filter("own").mapInArrow(_keys(edits, True, False), "key long, lid long, print long")
+        own, path = (f"own AND mark & {OWN} <> 0", f"path * {edits + 2} + {segment}") if level else (f"mark & {OWN} <> 0", segment)
+        carry, carried = (("own", "path", "line"), ", own boolean, path int, line string") if level else ((), "")
+        index = (lines.filter("own") if level else lines).mapInArrow(_keys(edits, True), "key long, lid long, print long")
         # where one line alone is indexed its signature is the combination of all
         pivots = index.groupBy("key").agg(F.min("lid").alias("pivot"), F.bit_xor("print").alias("sole"), F.count(F.lit(1)).alias("n"))
-        carried = ", line string" if level else ""
-        probe = lines.mapInArrow(_keys(edits, False, level > 0), "key long, lid long, print long, mark int" + carried)
+        probe = lines.mapInArrow(_keys(edits, False, carry), "key long, lid long, print long, mark int" + carried)
         # and then nothing is left to compare but with it
-        members = probe.join(pivots, "key").filter(f"lid <> pivot AND (n > 1 OR {near(('print', 'sole'))})")
-        members = session.written(members.drop("sole"), "members")
-        stars = members.select("pivot", "lid", "print").distinct().join(classes.select(F.col("lid").alias("pivot"), F.col("print").alias("sole")), "pivot")
-        kept.append(verified(stars.filter(near(("print", "sole"))).select(F.col("pivot").alias("a"), F.col("lid").alias("b"))))
-        labels = components(joined(kept).select("a", "b"))
-        # keys that still hold several components, one of them indexed
-        rows = members.filter("n > 1").drop("pivot", "n").join(labels.withColumnRenamed("node", "lid"), "lid", "left")
-        rows = rows.withColumn("component", F.coalesce("component", "lid")).withColumn("own", F.expr(f"mark & {OWN} <> 0"))
-        mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("own").alias("any"), F.count(F.lit(1)).alias("many")).filter("low < high AND any")
-        rows = session.written(rows.join(mixed.select("key", "many"), "key"), "mixed")
-        # for these a wider signature, which few pairs pass that aren't linked
+        met = probe.join(pivots, "key").filter(f"n > 1 OR lid <> pivot AND bit_count(print ^ sole) <= {4 * edits}")
+        met = session.written(met.selectExpr("key", "lid", "print", "mark", *carry[2:], "pivot", "n", f"{own} AS own", f"{path} AS path"), "members")
+        several = met.groupBy("key").agg(F.count(F.lit(1)).alias("many"))
+        rows = met.join(several, "key")
+        again = f"n > 1 AND many > {small}" if level < levels - 1 else "false"
+        more = rows.filter(again)
+        if last := level == levels - 1 or more.isEmpty():
+            again = "false"
+        else:
+            more = session.written(more, "large")
+            known = more.filter("own").select("lid", "path")
+            large = known if large is None else large.unionByName(known)
+        rows = rows.filter(f"NOT ({again})").select("key", "lid", "own", "path", "pivot", "n", "many")
+        alone = rows.filter("n = 1").select("key", F.col("pivot").alias("lid"), F.lit(True).alias("own"), "path", "many").distinct()
+        rows = rows.drop("pivot", "n").unionByName(alone)
+        parts = f"cast((many + {small - 1}) div {small} as int)"
+        rows = rows.withColumn("home", F.expr(f"cast(pmod(xxhash64(lid), {parts}) as int)"))
+        rows = rows.withColumn("part", F.explode(F.expr(f"if(own, sequence(0, {parts} - 1), array(home))"))).withColumn("probing", F.expr("part = home"))
+        rows = session.written(rows.drop("home", "many"), "parts")  # so that its size is known to the joins
         texts = classes.select("lid", "line").join(rows.select("lid").distinct(), "lid", "left_semi")
-        columns = ["print", *(f"print{i}" for i in range(1, WIDE))]
-        prints = texts.mapInArrow(_prints(WIDE), "lid long, line string, " + ", ".join(f"{c} long" for c in columns)).drop("line")
-        wide = [(f"x.{c}", f"y.{c}") for c in columns]
-        session.discard(members)
-        last = level == levels - 1
-        few = (rows if last else rows.filter(f"many <= {small}")).drop("print").join(prints, "lid")
-        x, y = few.filter("own").alias("x"), few.alias("y")
-        crossed = x.join(y, F.expr(f"x.key = y.key AND x.component <> y.component AND (y.mark & {SAME} = 0 OR x.lid < y.lid) AND {near(*wide)}"))
-        kept.append(verified(crossed.select(F.col("x.lid").alias("a"), F.col("y.lid").alias("b"))))
-        many = rows.filter(f"many > {small}").withColumnRenamed("key", "base").drop("component", "own", "many")
-        if last or many.isEmpty():
+        texts = session.written(texts.mapInArrow(_prints(WIDE), "lid long, line string, " + ", ".join(f"{c} long" for c in columns)), "ends")
+        whole = rows.join(texts, "lid")
+        if large is None:
+            whole = whole.withColumn("large", F.lit(None).cast("array<int>"))
+        else:
+            whole = whole.join(large.groupBy("lid").agg(F.collect_set("path").alias("large")), "lid", "left")
+        whole = whole.select(*MET).repartition("key", "part").sortWithinPartitions("key", "part")
+        found.append(session.written(whole.mapInArrow(_linker(edits), LINKED), "links"))
+        for table in (texts, rows, met):
+            session.discard(table)
+        if last:
             break
-        if level == 0:
-            many = many.join(classes.select("lid", "line"), "lid")
-        lines = session.written(many.select("base", "lid", "print", "mark", "line").mapInArrow(_left(edits), "base long, lid long, print long, line string, own boolean"), "left")
-    links = joined(kept)
-    return links, components(links.select("a", "b"))
+        left = more.withColumnRenamed("key", "base")
+        left = left if level else left.join(classes.select("lid", "line"), "lid")
+        lines = session.written(left.select("base", "lid", "print", "own", "path", "mark", "line").mapInArrow(_left(edits), "base long, lid long, print long, own boolean, path int, line string"), "left")
+    out = found[0]
+    for x in found[1:]:
+        out = out.unionByName(x)
+    links = out.filter("b IS NOT NULL").select("a", "b", "distance")
+    return links, components(links), out.filter("b IS NULL").groupBy(F.col("a").alias("lid")).agg(F.sum("n").alias("n_links"))
 
 
 def related(docs: DataFrame, edits: int = 2) -> DataFrame:
@@ -318,29 +373,31 @@ def related(docs: DataFrame, edits: int = 2) -> DataFrame:
     relation ``member``, one row for each line: it is equal to that of (to_doc, to_line), which represents it, and
     (class_doc, class_line) is the smallest place of all lines that links connect with it. relation ``link``: (doc_id, line_no)
     and (to_doc, to_line) represent different lines ``distance`` edits apart, smaller place first; the links
-    are verified ones that connect every class, not all of its pairs.
+    are verified ones that connect every class, not all of its pairs. All are counted: ``n_links`` of a member is the number of
+    different lines within ``edits`` of it, copies counted once; of a link it is null.
     """
     session.workers_see(docs.sparkSession)
     classes = classes_of(docs)
-    links, labels = links_of(classes, edits)
+    links, labels, counts = links_of(classes, edits)
     place = classes.select("lid", F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "line_no").alias("at"))
-    placed = labels.join(place.withColumnRenamed("lid", "node"), "node")
+    placed = labels.join(counts.withColumnRenamed("lid", "node"), "node").join(place.withColumnRenamed("lid", "node"), "node")
     firsts = placed.groupBy("component").agg(F.min("at").alias("first"))
-    placed = session.written(placed.join(firsts, "component").select("node", "at", "first"), "placed")
+    placed = session.written(placed.join(firsts, "component").select("node", "at", "first", "n_links"), "placed")
     x, y = placed.select(F.col("node").alias("a"), F.col("at").alias("x"), "first"), placed.select(F.col("node").alias("b"), F.col("at").alias("y"))
     ends = links.join(x, "a").join(y, "b").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "distance", "first").distinct()
     out = ends.select(
         F.lit("link").alias("relation"), "x.doc_id", "x.line_no", F.col("y.doc_id").alias("to_doc"), F.col("y.line_no").alias("to_line"), "distance",
-        F.col("first.doc_id").alias("class_doc"), F.col("first.line_no").alias("class_line"),
+        F.col("first.doc_id").alias("class_doc"), F.col("first.line_no").alias("class_line"), F.lit(None).cast("long").alias("n_links"),
     )
-    many = classes.join(placed.select(F.col("node").alias("lid"), "first"), "lid", "left").filter("n > 1 OR first IS NOT NULL")
-    many = many.select(_digest(), F.col("doc_id").alias("to_doc"), F.col("line_no").alias("to_line"), "first", "n")
+    many = classes.join(placed.select(F.col("node").alias("lid"), "first", "n_links"), "lid", "left").filter("n > 1 OR first IS NOT NULL")
+    many = many.select(_digest(), F.col("doc_id").alias("to_doc"), F.col("line_no").alias("to_line"), "first", "n_links", "n")
     members = lines_of(docs).select("doc_id", "line_no", _digest()).join(many, "digest", "left")
     own, alone = F.col("n").isNull(), F.col("first").isNull()
     to_doc, to_line = F.when(own, F.col("doc_id")).otherwise(F.col("to_doc")), F.when(own, F.col("line_no")).otherwise(F.col("to_line"))
     members = members.select(
         F.lit("member").alias("relation"), "doc_id", "line_no", to_doc.alias("to_doc"), to_line.alias("to_line"), F.lit(0).alias("distance"),
         F.when(alone, to_doc).otherwise(F.col("first.doc_id")).alias("class_doc"), F.when(alone, to_line).otherwise(F.col("first.line_no")).alias("class_line"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
     return out.unionByName(members)
 
