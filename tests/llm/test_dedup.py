@@ -137,6 +137,51 @@ def test_minhash_pairs_grow_with_members(spark, monkeypatch):
     assert rows[1]["pairs"] <= 8 * 800 and all(v <= 2.8 * rows[0][k] + 200 for k, v in rows[1].items()), rows
 
 
+def rows_of_joins(spark, keys, since=-1):
+    """(rows that joins whose description matches ``keys`` made in executions after ``since``, the last execution)."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs, made, last = store.executionsList(), 0, since
+    for run in (runs.apply(i).executionId() for i in range(runs.size())):
+        last = max(last, run)
+        if run <= since:
+            continue
+        nodes, values = store.planGraph(run).allNodes(), store.executionMetrics(run)
+        for node in (nodes.apply(i) for i in range(nodes.size())):
+            if "Join" not in node.name() or not re.search(keys, node.desc()):
+                continue
+            for metric in (node.metrics().apply(i) for i in range(node.metrics().size())):
+                if metric.name() == "number of output rows" and (value := values.get(metric.accumulatorId())).isDefined():
+                    made += int(value.get().replace(",", ""))
+    return made, last
+
+
+def test_minhash_members_get_their_sketch_once(spark, monkeypatch):
+    """Rows of buckets and of differing shingles are joined with sketches once, not for each side of a comparison."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(200)]
+    texts = []
+    for n, edits in ((40, 10), (12, 12)):
+        base = [rng.choice(words) for _ in range(300)]
+        for _ in range(n):
+            own = list(base)
+            for _ in range(edits):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            texts.append(" ".join(own))
+    tables, written = {}, minhash.session.written
+
+    def recorded(df, name):
+        out = written(df, name)
+        tables.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash.session, "written", recorded)
+    _, since = rows_of_joins(spark, "a^")
+    minhash.near_groups(spark.createDataFrame(list(enumerate(texts)), SCHEMA), small=16)
+    made, _ = rows_of_joins(spark, r"\[rep#\d+L\], \[rep#\d+L\], Inner", since)
+    assert tables["differences"][0] > 100 and tables["mixed"][-1] > 100
+    assert 0 < made <= tables["differences"][0] + tables["mixed"][-1] + tables["around"][0]
+
+
 def test_minhash_long_words_without_pattern_differ(spark):
     """Words in Thue-Morse order and their complements, whose sums agree under powers of one number, stay apart."""
     data = []

@@ -238,7 +238,8 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
     labelled = labelled.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     still = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("many")).filter("low < high")
     labelled = session.written(labelled.join(still.select("bucket", "many"), "bucket"), "mixed")
-    rest = labelled.filter(f"many <= {small}").select("bucket", "component", "rep").join(sketches, "rep")
+    # both sides of a comparison read the rows that have got their sketch once
+    rest = session.written(labelled.filter(f"many <= {small}").select("bucket", "component", "rep").join(sketches, "rep"), "rest")
     shared = "x.bucket = element_at(filter(zip_with(x.bands, y.bands, (p, q) -> if(p = q, p, null)), p -> p IS NOT NULL), 1)"
     crossed = rest.alias("x").join(rest.alias("y"), F.expr(f"x.bucket = y.bucket AND x.rep < y.rep AND x.component <> y.component AND {close('x', 'y')} AND {shared}"))
     crossed = crossed.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
@@ -250,21 +251,23 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
     else:
         tokens = _differing(texts, around, width, percent)
 
-        def grouped() -> tuple[DataFrame, DataFrame]:
+        def grouped() -> DataFrame:
             """Probing and indexed shingles with today's components; only members outside the centre's component probe."""
             own = labels.select(F.col("node").alias("rep"), "component")
             held = labels.select(F.col("node").alias("center"), F.col("component").alias("home"))
             rows = tokens.join(own, "rep", "left").join(held, "center", "left")
             rows = rows.withColumn("component", F.coalesce("component", "rep")).withColumn("home", F.coalesce("home", "center"))
-            return rows.filter("probing AND component <> home").alias("x"), rows.filter("indexed").alias("y")
+            return rows.withColumn("probing", F.expr("probing AND component <> home")).drop("home").filter("probing OR indexed")
 
-        x, y = grouped()
+        rows = grouped()
+        x, y = rows.filter("probing").alias("x"), rows.filter("indexed").alias("y")
         stars = x.join(y.groupBy("center", "token").agg(F.min("rep").alias("a")), ["center", "token"])
         stars = stars.groupBy(F.col("rep").alias("b"), "center").agg(F.min("a").alias("a")).filter("a <> b")
         stars = estimated(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         links = links.unionByName(confirmed(crossed.unionByName(stars).distinct()))
         labels = components(links)
-        x, y = (side.join(sketches.select("rep", *sketch, "n_shingles"), "rep").alias(name) for name, side in zip("xy", grouped()))
+        held = session.written(grouped().join(sketches.select("rep", *sketch, "n_shingles"), "rep"), "held")
+        x, y = held.filter("probing").alias("x"), held.filter("indexed").alias("y")
         # the shingles that both must share, times 2 * (100 + percent), and those that are left from here on
         needed = f"({100 + percent} * (x.differ + y.differ) - {100 - percent} * (x.n + y.n))"
         left = f"{2 * (100 + percent)} * least(x.differ - x.at, y.differ - y.at)"
@@ -273,7 +276,8 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
         links = links.unionByName(confirmed(far))
         labels = components(links)
         session.discard(tokens)
-    for table in (first, members, sketches, tried, mixed, labelled, around):
+        session.discard(held)
+    for table in (first, members, sketches, tried, mixed, labelled, rest, around):
         session.discard(table)
     return _assigned(signed, classes, labels)
 
