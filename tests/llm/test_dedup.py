@@ -182,6 +182,27 @@ def test_minhash_members_get_their_sketch_once(spark, monkeypatch):
     assert 0 < made <= tables["differences"][0] + tables["mixed"][-1] + tables["around"][0]
 
 
+def test_minhash_members_get_their_component_once(spark, monkeypatch):
+    """Components are joined with members, not with each of their differing shingles; these get them in one join."""
+    rng = random.Random(7)
+    texts = family(rng, 120, 100, 3, [3, 4, 5])
+    tables, written = {}, minhash.session.written
+
+    def recorded(df, name):
+        out = written(df, name)
+        tables.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash.session, "written", recorded)
+    _, since = rows_of_joins(spark, "a^")
+    minhash.near_groups(spark.createDataFrame(list(enumerate(texts)), SCHEMA), small=16)
+    by_center, _ = rows_of_joins(spark, r"\[center#\d+L\], \[center#\d+L\], LeftOuter", since)
+    by_member, _ = rows_of_joins(spark, r"\[center#\d+L, rep#\d+L\], \[center#\d+L, rep#\d+L\], Inner", since)
+    assert tables["differences"][0] > 2 * tables["around"][0] > 200
+    assert 0 < by_center <= 2 * tables["around"][0]
+    assert 0 < by_member <= tables["differences"][0]
+
+
 def test_minhash_long_words_without_pattern_differ(spark):
     """Words in Thue-Morse order and their complements, whose sums agree under powers of one number, stay apart."""
     data = []

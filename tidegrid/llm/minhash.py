@@ -251,22 +251,22 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85, bands: int =
     else:
         tokens = _differing(texts, around, width, percent)
 
-        def grouped() -> DataFrame:
-            """Probing and indexed shingles with today's components; only members outside the centre's component probe."""
+        def placed() -> DataFrame:
+            """center, rep, component, outside: a row for each member, with today's components; only members outside the centre's probe."""
             own = labels.select(F.col("node").alias("rep"), "component")
             held = labels.select(F.col("node").alias("center"), F.col("component").alias("home"))
-            rows = tokens.join(own, "rep", "left").join(held, "center", "left")
-            rows = rows.withColumn("component", F.coalesce("component", "rep")).withColumn("home", F.coalesce("home", "center"))
-            return rows.withColumn("probing", F.expr("probing AND component <> home")).drop("home").filter("probing OR indexed")
-
-        rows = grouped()
-        x, y = rows.filter("probing").alias("x"), rows.filter("indexed").alias("y")
-        stars = x.join(y.groupBy("center", "token").agg(F.min("rep").alias("a")), ["center", "token"])
-        stars = stars.groupBy(F.col("rep").alias("b"), "center").agg(F.min("a").alias("a")).filter("a <> b")
+            rows = around.join(own, "rep", "left").join(held, "center", "left").withColumn("component", F.coalesce("component", "rep"))
+            return rows.select("center", "rep", "component", (F.col("component") != F.coalesce("home", "center")).alias("outside"))
+
+        x = tokens.filter("probing").join(placed().filter("outside").select("center", "rep"), ["center", "rep"], "left_semi")
+        y = tokens.filter("indexed").groupBy("center", "token").agg(F.min("rep").alias("a"))
+        stars = x.join(y, ["center", "token"]).groupBy(F.col("rep").alias("b"), "center").agg(F.min("a").alias("a")).filter("a <> b")
         stars = estimated(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         links = links.unionByName(confirmed(crossed.unionByName(stars).distinct()))
         labels = components(links)
-        held = session.written(grouped().join(sketches.select("rep", *sketch, "n_shingles"), "rep"), "held")
+        # components and sketches come to members first, then once to the shingles that are still probed or indexed
+        told = tokens.join(placed().join(sketches.select("rep", *sketch, "n_shingles"), "rep"), ["center", "rep"])
+        held = session.written(told.withColumn("probing", F.expr("probing AND outside")).filter("probing OR indexed").drop("outside"), "held")
         x, y = held.filter("probing").alias("x"), held.filter("indexed").alias("y")
         # the shingles that both must share, times 2 * (100 + percent), and those that are left from here on
         needed = f"({100 + percent} * (x.differ + y.differ) - {100 - percent} * (x.n + y.n))"
