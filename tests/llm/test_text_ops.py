@@ -1,6 +1,8 @@
 import hashlib
 import math
 import random
+import tracemalloc
+import zlib
 from array import array
 
 import numpy as np
@@ -350,6 +352,27 @@ def test_language_ngrams_and_steps_equal_brute_force():
     assert np.abs(np.vstack([got["w"], got["bias"]]) - expected).max() < 1e-3
 
 
+def test_language_sample_is_held_sparse(spark):
+    """The driver doesn't hold the sample's counts as a dense table, and learns what it learnt from one."""
+    rng = random.Random(5)
+    data = [(i, " ".join(rng.choices(["ab", "bc", "cad", "dab"] if i % 2 else ["xy", "yz", "ab", "zoy"], k=20)), f"l{i % 2}") for i in range(1_200)]
+    learnt = [r for r in data if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    docs = spark.createDataFrame(data, SCHEMA + ", lang string")
+    language.session.workers_see(spark)
+    tracemalloc.start()
+    try:
+        found = language.model_of(docs)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < len(learnt) * (4 << language.BITS) / 2
+    dense = np.concatenate(list(language.counted(pa.array([r[1] for r in learnt]))))
+    idf = language.sampling.idf_of(np.count_nonzero(dense, axis=0), len(dense))
+    want = language.fit(dense, np.array([r[0] % 2 for r in learnt]), 2, idf)
+    np.testing.assert_allclose(found["w"], want["w"], atol=1e-6)
+    assert found["temperature"] == pytest.approx(want["temperature"])
+
+
 def test_language_of_another_script(spark):
     """Two languages in Cyrillic letters that differ in their words only, from every value of lang, also rare ones."""
     rng = random.Random(13)

@@ -4,6 +4,7 @@ N-grams are one to three characters of the lower-cased text, hashed; their docum
 may be learnt from. The weights are learnt from a bounded sample of
 each language with follow-the-regularised-leader steps, whose elastic-net penalty sets most weights to zero. On a
 part of the sample that is kept out of the steps, a temperature is fitted that calibrates the probabilities.
+The driver holds the sample's counts that aren't zero; only the rows of a step are made dense.
 Every value of lang is learnt, so the model grows with their number, by 32 KB each.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0. Documents of null lang or null
@@ -51,6 +52,19 @@ def counted(column: pa.Array) -> Iterator[np.ndarray]:
         yield ngram_counts(data, offsets)
 
 
+class Sparse:
+    """Rows of counts from packed places (uint16) and counts (uint32) of those that aren't zero; rows by number are dense."""
+
+    def __init__(self, places: pa.Array, counts: pa.Array) -> None:
+        self.places, self.counts = ([np.frombuffer(x.as_py(), kind) for x in column] for column, kind in ((places, "<u2"), (counts, "<u4")))
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), 1 << BITS), np.float32)
+        for own, row in zip(out, rows):
+            own[self.places[row]] = self.counts[row]
+        return out
+
+
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     x = np.log1p(counts) * idf
     length = np.sqrt(np.einsum("ij,ij->i", x, x))
@@ -62,13 +76,12 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(counts: np.ndarray, y: np.ndarray, classes: int, idf: np.ndarray, alpha: float = 2.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01, epochs: int = 6, batch: int = 32) -> dict:
+def fit(counts: np.ndarray | Sparse, y: np.ndarray, classes: int, idf: np.ndarray, alpha: float = 2.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01, epochs: int = 6, batch: int = 32) -> dict:
     """Weights, bias and temperature; a fifth of the rows only calibrates."""
     rng = np.random.Generator(np.random.PCG64(3))
-    x = weighted(counts, idf)
     order = rng.permutation(len(y))
     held, train = order[: len(y) // 5], order[len(y) // 5 :]
-    d = x.shape[1]
+    d = len(idf)
     z, n = np.zeros((d + 1, classes)), np.zeros((d + 1, classes))
 
     def weights() -> np.ndarray:
@@ -80,17 +93,17 @@ def fit(counts: np.ndarray, y: np.ndarray, classes: int, idf: np.ndarray, alpha:
         rng.shuffle(train)
         for at in range(0, len(train), batch):
             own = train[at : at + batch]
-            w = weights()
-            p = softmax(x[own] @ w[:d] + w[d])
+            x, w = weighted(counts[own], idf), weights()
+            p = softmax(x @ w[:d] + w[d])
             g = p - one[y[own]]
-            grad = np.vstack([x[own].T @ g, g.sum(axis=0)]) / len(own)
+            grad = np.vstack([x.T @ g, g.sum(axis=0)]) / len(own)
             sigma = (np.sqrt(n + grad**2) - np.sqrt(n)) / alpha
             z += grad - sigma * w
             n += grad**2
     w = weights()
-    logits, target = x[held] @ w[:d] + w[d], y[held]
-    best = 1.0
+    target, best = y[held], 1.0
     if len(held):
+        logits = np.concatenate([weighted(counts[held[at : at + batch]], idf) @ w[:d] + w[d] for at in range(0, len(held), batch)])
         scale = np.exp(np.linspace(-3, 3, 121))
         loss = [-np.log(softmax(logits / t)[np.arange(len(target)), target] + 1e-12).mean() for t in scale]
         best = float(scale[int(np.argmin(loss))])
@@ -117,8 +130,12 @@ def _scorer(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
 
 def _featurizer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        packed = [row.astype("<u4").tobytes() for block in counted(batch.column("text")) for row in block]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(packed, pa.binary())], names=["doc_id", "lang", "counts"])
+        places, counts = [], []
+        for row in (row for block in counted(batch.column("text")) for row in block):
+            at = np.flatnonzero(row)
+            places.append(at.astype("<u2").tobytes())
+            counts.append(row[at].astype("<u4").tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(places, pa.binary()), pa.array(counts, pa.binary())], names=["doc_id", "lang", "places", "counts"])
 
 
 def model_of(docs: DataFrame, most: int = 600) -> dict:
@@ -127,12 +144,13 @@ def model_of(docs: DataFrame, most: int = 600) -> dict:
     known = known.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(sampling.fold(3) != 1)
     sample, _ = sampling.balanced(known.select("doc_id", "lang", "text"), "lang", most)
     # in an order that doesn't depend on partitioning
-    found = sample.select("doc_id", "lang", "text").mapInArrow(_featurizer, "doc_id long, lang string, counts binary").orderBy("doc_id", "lang", "counts").toArrow()
+    found = sample.select("doc_id", "lang", "text").mapInArrow(_featurizer, "doc_id long, lang string, places binary, counts binary").orderBy("doc_id", "lang", "places", "counts").toArrow()
     langs = found.column("lang").to_pylist()
     names = sorted(set(langs))
     if not names:
         return {"names": names}
-    grid = np.stack([np.frombuffer(x.as_py(), "<u4") for x in found.column("counts")]).astype(np.float32)
+    grid = Sparse(found.column("places"), found.column("counts"))
+    del found
     idf = sampling.idf_of(*sampling.document_frequencies(known, counted, 1 << BITS))
     place = {name: i for i, name in enumerate(names)}
     return fit(grid, np.array([place[x] for x in langs]), len(names), idf) | {"names": names}
